@@ -174,7 +174,7 @@ def analyse(events: DataFrame, tuning: Tuning = Tuning(), limit: int | None = No
     so flagged events never touch the series of clean ones and no row leaves the table in between.
     """
     history = user_history(events, tuning, limit)
-    first = stage1(global_transitions(history.frame(), limit), tuning)
+    first = stage1(global_transitions(history.frame(), limit, history.rows), tuning)
     series = history.again(first, CLEAN_SERIES, ("sec", "seq")).apply(lambda s: s.colocate() if s.cut else s.colocate("user_id"))
     averaged = series.apply(lambda s: moving_averages(s, "type_count", tuning)).frame()
     return stage2(averaged, tuning)

@@ -107,13 +107,13 @@ def user_transitions(series: Series) -> Series:
     return series.running(*_transition_counts("user"))
 
 
-def global_transitions(df: DataFrame, limit: int | None = None) -> DataFrame:
+def global_transitions(df: DataFrame, limit: int | None = None, rows: int | None = None) -> DataFrame:
     """The same over all users, in the order of all events.
 
     There are only a handful of transitions, so a window per transition would be a few huge tasks: beyond one block
     of rows the events are cut into blocks of consecutive events and only block totals travel between them.
     """
-    series = in_one_order(df, limit=limit)
+    series = in_one_order(df, limit=limit, rows=rows)
     series = series.colocate(BLOCK) if series.cut else series.colocate(FIRST)
     return series.running(*_transition_counts("global")).df.drop(BLOCK)
 

@@ -174,20 +174,20 @@ def cut_into_blocks(df: DataFrame, key: Sequence[str], order: Sequence[str], blo
 class ByKey:
     """Ordinary and oversized keys of a table, kept apart.
 
-    ``apply`` runs the same steps on both; ``frame`` gives all rows back.
+    ``apply`` runs the same steps on both; ``frame`` gives all rows back; ``rows`` is how many there are.
     """
 
-    def __init__(self, parts: list[Series], oversized: DataFrame | None, few: bool, limit: int):
+    def __init__(self, parts: list[Series], oversized: DataFrame | None, few: bool, rows: int):
         self.parts = parts
         self._oversized = oversized
         self._few = few
-        self._limit = limit
+        self.rows = rows
 
     def apply(self, *steps: Callable[[Series], Series]) -> ByKey:
         parts = self.parts
         for step in steps:
             parts = [step(p) for p in parts]
-        return ByKey(parts, self._oversized, self._few, self._limit)
+        return ByKey(parts, self._oversized, self._few, self.rows)
 
     def frame(self) -> DataFrame:
         frames = [p.df.drop(BLOCK) for p in self.parts]
@@ -199,7 +199,7 @@ class ByKey:
         ``key`` must extend the key that was counted.
         """
         if self._oversized is None:
-            return ByKey([Series(df, tuple(key), tuple(order))], None, True, self._limit)
+            return ByKey([Series(df, tuple(key), tuple(order))], None, True, self.rows)
         counted = self._oversized.columns
         keys = F.broadcast(self._oversized) if self._few else self._oversized
         cold = join_null_safe(df, keys, counted, "left_anti")
@@ -209,7 +209,7 @@ class ByKey:
             [Series(cold, tuple(key), tuple(order)), cut_into_blocks(hot, key, order, blocks)],
             self._oversized,
             self._few,
-            self._limit,
+            self.rows,
         )
 
 
@@ -220,25 +220,35 @@ def by_key(df: DataFrame, key: Sequence[str], order: Sequence[str] = ("sec", "se
     bounds their table; beyond ``BROADCAST_KEYS`` of them it is joined by shuffle.
     """
     limit = rows_per_block(df.sparkSession, limit)
-    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > limit)
-    found = sizes.agg(F.count(F.lit(1)).alias("keys"), F.sum("_rows").alias("rows")).first()
+    sizes = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
+    over = F.col("_rows") > limit
+    found = sizes.agg(
+        F.count_if(over).alias("keys"),
+        F.sum(F.when(over, F.col("_rows"))).alias("rows"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("all"),
+    ).first()
     if not found["keys"]:
-        return ByKey([Series(df, tuple(key), tuple(order))], None, True, limit)
+        return ByKey([Series(df, tuple(key), tuple(order))], None, True, found["all"])
     blocks = -(-found["rows"] // limit) + 1
     few = found["keys"] <= BROADCAST_KEYS
-    oversized = materialise(sizes.select(*key))
+    oversized = materialise(sizes.where(over).select(*key))
     keys = F.broadcast(oversized) if few else oversized
     cold = join_null_safe(df, keys, list(key), "left_anti")
     hot = join_null_safe(df, keys, list(key), "left_semi")
     return ByKey(
-        [Series(cold, tuple(key), tuple(order)), cut_into_blocks(hot, key, order, blocks)], oversized, few, limit
+        [Series(cold, tuple(key), tuple(order)), cut_into_blocks(hot, key, order, blocks)],
+        oversized,
+        few,
+        found["all"],
     )
 
 
-def in_one_order(df: DataFrame, order: Sequence[str] = ("sec", "seq"), limit: int | None = None) -> Series:
-    """All rows as one series. Cut into blocks as soon as they exceed one block."""
+def in_one_order(
+    df: DataFrame, order: Sequence[str] = ("sec", "seq"), limit: int | None = None, rows: int | None = None
+) -> Series:
+    """All rows as one series, cut into blocks as soon as they exceed one block. ``rows`` saves the count."""
     limit = rows_per_block(df.sparkSession, limit)
-    rows = df.count()
+    rows = df.count() if rows is None else rows
     if rows <= limit:
         return Series(df, (), tuple(order))
     return cut_into_blocks(df, (), order, -(-rows // limit))
