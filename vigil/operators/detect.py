@@ -182,7 +182,11 @@ def analyse(events: DataFrame, tuning: Tuning = Tuning(), limit: int | None = No
 
 def stat_verdicts(events: DataFrame, tuning: Tuning = Tuning(), limit: int | None = None) -> DataFrame:
     """One verdict per event, normal ones included. Rows whose ``status`` is not ``ok`` carry no verdict."""
-    rows = analyse(events, tuning, limit)
+    return verdict_rows(analyse(events, tuning, limit))
+
+
+def verdict_rows(rows: DataFrame) -> DataFrame:
+    """The verdict of each row that went through both stages."""
     second = F.col("clean")
     kind = F.coalesce(F.col("stage1_type"), F.when(second, F.col("stage2_type")))
     status = F.when(second, F.col("stage2_status")).otherwise(F.lit("ok"))

@@ -7,7 +7,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from vigil.operators.lookups import upsert_users_seen, within_retention
 
@@ -104,31 +103,52 @@ class Store:
         dated = rows.withColumn("day", F.to_date(time_column))
         dated.write.mode("append").partitionBy("day").parquet(self.path(table))
 
-    def write_batch(self, rows: DataFrame, table: str, time_column: str, batch_id: int) -> None:
-        """Write one micro-batch so that a repeated batch replaces itself: the batch number is a partition."""
-        dated = rows.withColumns({"batch": F.lit(batch_id).cast("long"), "day": F.to_date(time_column)})
+    def write_batch(self, rows: DataFrame, table: str, batch_id: int) -> None:
+        """Write one micro-batch as one partition. A repeated batch replaces itself."""
         (
-            dated.write.mode("overwrite")
+            rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch", "day")
+            .partitionBy("batch_id")
             .parquet(self.path(table))
         )
+        if not self.has_batch(table, batch_id):
+            # Nothing to write leaves no partition: mark the batch with an empty file.
+            rows.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{self.path(table)}/batch_id={batch_id}")
+
+    def _hadoop_path(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        return target, target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def has_batch(self, table: str, batch_id: int) -> bool:
+        path, files = self._hadoop_path(f"{self.path(table)}/batch_id={batch_id}")
+        return files.exists(path)
+
+    def batch(self, table: str, batch_id: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path(table)}/batch_id={batch_id}")
+
+    def stream(self, table: str, schema: str, files_per_batch: int = 1000) -> DataFrame:
+        """The table as a stream, oldest micro-batches first."""
+        return (
+            self.spark.readStream.schema(schema)
+            .option("maxFilesPerTrigger", files_per_batch)
+            .parquet(f"{self.path(table)}/batch_id=*")
+        )
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
     def exists(self, table: str) -> bool:
-        try:
-            self.spark.read.parquet(self.path(table)).schema
-        except AnalysisException:
-            return False
-        return True
+        path, files = self._hadoop_path(self.path(table))
+        return files.exists(path)
 
-    def sink(self, table: str, time_column: str, shape: Callable[[DataFrame], DataFrame] = lambda d: d):
-        """A ``foreachBatch`` function that stores each micro-batch."""
+    def sink(self, table: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df):
+        """A ``foreachBatch`` function that stores each micro-batch once."""
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            self.write_batch(shape(batch), table, time_column, batch_id)
+            if not self.has_batch(table, batch_id):
+                self.write_batch(shape(batch), table, batch_id)
 
         return write
 
