@@ -47,8 +47,13 @@ def valid_events(records: DataFrame) -> DataFrame:
     )
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def _keyed(df: DataFrame, key: str | list[str], processor, schema: str, ttl_ms: int | None) -> DataFrame:
     keys = [key] if isinstance(key, str) else key
+    # The only state store that holds several states of one processor.
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     mode = "None" if ttl_ms is None else "ProcessingTime"
     return df.groupBy(*keys).transformWithStateInPandas(processor, schema, "append", mode)
 
