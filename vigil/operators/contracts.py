@@ -25,9 +25,19 @@ def _decode(text: Column, ddl: str) -> Column:
     return F.from_json(text, f"{ddl}, {MALFORMED} STRING", OPTIONS)
 
 
+def _parsed_once(df: DataFrame, name: str, struct: Column) -> DataFrame:
+    """Adds ``struct`` as a column that is computed once per row.
+
+    A filter on parsed fields would otherwise be moved below the parsing and bring a copy of it along for every field
+    it reads. Filters do not move below a generator, and an array of one element keeps every row.
+    """
+    kept = [c for c in df.columns if c != name]
+    return df.select(*kept, F.explode(F.array(struct)).alias(name))
+
+
 def parse_envelope(records: DataFrame) -> DataFrame:
     """Adds ``envelope`` and ``malformed``. The payload stays text until the domain is known."""
-    decoded = records.withColumn("envelope", _decode(F.col("value"), ENVELOPE))
+    decoded = _parsed_once(records, "envelope", _decode(F.col("value"), ENVELOPE))
     broken = F.col("envelope").isNull() | F.col(f"envelope.{MALFORMED}").isNotNull()
     return decoded.withColumn("malformed", broken)
 
@@ -63,12 +73,8 @@ def filter_domain(validated: DataFrame, domain: str = USER_ACTIVITY) -> DataFram
 def parse_payload(validated: DataFrame, domain: str = USER_ACTIVITY) -> DataFrame:
     """Adds ``payload`` for valid envelopes of the domain; others get the reason ``domain_mismatch``."""
     fits = F.col("reject_reason").isNull() & domain_is(domain)
-    return validated.withColumns(
-        {
-            "payload": F.when(fits, _decode(F.col("envelope.payload"), PAYLOAD)),
-            "reject_reason": F.coalesce("reject_reason", F.when(~fits, F.lit("domain_mismatch"))),
-        }
-    )
+    parsed = _parsed_once(validated, "payload", F.when(fits, _decode(F.col("envelope.payload"), PAYLOAD)))
+    return parsed.withColumn("reject_reason", F.coalesce("reject_reason", F.when(~fits, F.lit("domain_mismatch"))))
 
 
 def event_time(text: Column) -> Column:
@@ -143,7 +149,7 @@ def flatten_event(validated: DataFrame, *keep: str) -> DataFrame:
 
 def ml_input(records: DataFrame, *keep: str) -> DataFrame:
     """Events for session scoring: session from the payload, else from the correlation map; no session or user, no row."""
-    parsed = parse_envelope(records).withColumn("payload", _decode(F.col("envelope.payload"), PAYLOAD))
+    parsed = _parsed_once(parse_envelope(records), "payload", _decode(F.col("envelope.payload"), PAYLOAD))
     payload, envelope = F.col("payload"), F.col("envelope")
     session = F.coalesce(empty_as_null(payload["session_id"]), empty_as_null(envelope["correlation"]["session_id"]))
     stamp = F.coalesce(empty_as_null(payload["timestamp"]), empty_as_null(envelope["timestamp"]))
@@ -221,7 +227,7 @@ def encode(rows: DataFrame, *keep: str) -> DataFrame:
 
 
 def _decode_result(records: DataFrame, ddl: str, keep: tuple[str, ...]) -> DataFrame:
-    decoded = records.withColumn("_result", _decode(F.col("value"), ddl)).where(
+    decoded = _parsed_once(records, "_result", _decode(F.col("value"), ddl)).where(
         F.col("_result").isNotNull() & F.col(f"_result.{MALFORMED}").isNull()
     )
     return decoded.select(*keep, "_result.*").drop(MALFORMED).withColumn("timestamp", event_time(F.col("timestamp")))

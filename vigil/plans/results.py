@@ -41,16 +41,22 @@ def fitted_scaler(events: DataFrame) -> Scaler:
     return Scaler.fit(session_features(events))
 
 
-def held_out_losses(events: DataFrame) -> DataFrame:
+def fitted(events: DataFrame) -> tuple[Scaler, DataFrame]:
+    """The scaler, and the losses of the held-out sessions; session features are computed once for both."""
     features = materialise(session_features(events))
-    scaled = scaler_transform(features, Scaler.fit(features))
-    held_out = train_test_split(scaled).where(~F.col("is_train"))
-    return held_out.withColumn("loss", loss_column(fixed_model())).select("session_id", "loss")
+    scaler = Scaler.fit(features)
+    held_out = train_test_split(scaler_transform(features, scaler)).where(~F.col("is_train"))
+    return scaler, held_out.withColumn("loss", loss_column(fixed_model())).select("session_id", "loss")
+
+
+def held_out_losses(events: DataFrame) -> DataFrame:
+    return fitted(events)[1]
 
 
 def model_verdicts(events: DataFrame) -> DataFrame:
-    threshold = evaluate(held_out_losses(events)).first()["threshold"]
-    return ml_verdicts(ml_batch_features(events), fixed_model(), fitted_scaler(events), threshold, MULTIPLIER)
+    scaler, losses = fitted(events)
+    threshold = evaluate(losses).first()["threshold"]
+    return ml_verdicts(ml_batch_features(events), fixed_model(), scaler, threshold, MULTIPLIER)
 
 
 def stat_table(events: DataFrame) -> DataFrame:
@@ -70,19 +76,24 @@ def stat_table(events: DataFrame) -> DataFrame:
     )
 
 
+def build_results(spark: SparkSession, folder: str) -> Store:
+    """Run the pipeline over the whole event table and store what it gives."""
+    store = Store(spark, f"{shared_folder(spark)}/results-{uuid.uuid4().hex}")
+    events = load_canonical(spark, folder)
+    store.append(stat_table(events), "stat_results", "timestamp")
+    store.append(model_verdicts(events), "ml_results", "timestamp")
+    fused = fuse(store.read("stat_results"), store.read("ml_results"), IDLE)
+    store.append(fused, "aggregated_results", "created_at")
+    return store
+
+
 _written: dict[tuple[str, str], str] = {}
 
 
 def results(spark: SparkSession, folder: str) -> Results:
-    """Run the pipeline over the whole event table and store what it gives; later calls read the stored tables."""
+    """The stored tables; the first call of a session and data folder writes them."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _written:
-        store = Store(spark, f"{shared_folder(spark)}/results-{uuid.uuid4().hex}")
-        events = load_canonical(spark, folder)
-        store.append(stat_table(events), "stat_results", "timestamp")
-        store.append(model_verdicts(events), "ml_results", "timestamp")
-        fused = fuse(store.read("stat_results"), store.read("ml_results"), IDLE)
-        store.append(fused, "aggregated_results", "created_at")
-        _written[key] = store.folder
+        _written[key] = build_results(spark, folder).folder
     store = Store(spark, _written[key])
     return Results(store.read("stat_results"), store.read("ml_results"), store.read("aggregated_results"))
