@@ -23,8 +23,8 @@ DEFAULT_TYPE_WINDOW = 3600
 def unix_seconds(ts: str | Column) -> Column:
     """Whole seconds since 1970 of a zone-less UTC timestamp, whatever the session time zone is."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
-    return F.floor(micros / F.lit(1_000_000)).cast("long")
+    days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date"))
+    return days.cast("long") * DAY + F.hour(ts) * HOUR + F.minute(ts) * 60 + F.second(ts)
 
 
 def minute(ts: str | Column) -> Column:
