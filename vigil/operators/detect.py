@@ -11,14 +11,12 @@ from vigil.operators.history import (
     FIRST,
     SECOND,
     Tuning,
+    all_counts,
     global_transitions,
-    hour_counts,
     moving_averages,
     previous_events,
-    seen_before,
     set_epochs,
     type_counts,
-    user_transitions,
     users,
 )
 from vigil.operators.series import ByKey
@@ -121,9 +119,7 @@ def user_history(events: DataFrame, tuning: Tuning = Tuning(), limit: int | None
     return users(events.select(*HISTORY_COLUMNS), limit).apply(
         lambda s: previous_events(s, tuning),
         lambda s: set_epochs(s, tuning),
-        seen_before,
-        user_transitions,
-        hour_counts,
+        all_counts,
         lambda s: type_counts(s, tuning),
     )
 
@@ -174,10 +170,10 @@ def analyse(events: DataFrame, tuning: Tuning = Tuning(), limit: int | None = No
     so flagged events never touch the series of clean ones and no row leaves the table in between.
     """
     history = user_history(events, tuning, limit)
-    first = stage1(global_transitions(history.frame(), limit, history.rows), tuning)
-    series = history.again(first, CLEAN_SERIES, ("sec", "seq")).apply(lambda s: s.colocate() if s.cut else s.colocate("user_id"))
-    averaged = series.apply(lambda s: moving_averages(s, "type_count", tuning)).frame()
-    return stage2(averaged, tuning)
+    counted = global_transitions(history.frame(), limit, history.rows, keep=history.split)
+    series = history.again(stage1(counted, tuning), CLEAN_SERIES, ("sec", "seq"))
+    averaged = series.apply(lambda s: s.colocate(), lambda s: moving_averages(s, "type_count", tuning))
+    return stage2(averaged.frame(), tuning)
 
 
 def stat_verdicts(events: DataFrame, tuning: Tuning = Tuning(), limit: int | None = None) -> DataFrame:

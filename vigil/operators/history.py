@@ -82,9 +82,13 @@ def set_epochs(series: Series, tuning: Tuning = Tuning()) -> Series:
     )
 
 
-def seen_before(series: Series, columns: tuple[str, ...] = ("ip", "user_agent", "country")) -> Series:
+def _seen(columns: tuple[str, ...] = ("ip", "user_agent", "country")) -> list[Running]:
+    return [Running(f"seen_{c}", "sum", F.lit(1), ("epoch", c)) for c in columns]
+
+
+def seen_before(series: Series, *columns: str) -> Series:
     """``seen_<column>``: how often the user had this value since the last expiry. Needs ``set_epochs``."""
-    return series.running(*[Running(f"seen_{c}", "sum", F.lit(1), ("epoch", c)) for c in columns])
+    return series.running(*(_seen(columns) if columns else _seen()))
 
 
 # --- transitions ------------------------------------------------------------------------------------------------
@@ -107,7 +111,9 @@ def user_transitions(series: Series) -> Series:
     return series.running(*_transition_counts("user"))
 
 
-def global_transitions(df: DataFrame, limit: int | None = None, rows: int | None = None) -> DataFrame:
+def global_transitions(
+    df: DataFrame, limit: int | None = None, rows: int | None = None, keep: bool = False
+) -> DataFrame:
     """The same over all users, in the order of all events.
 
     There are only a handful of transitions, so a window per transition would be a few huge tasks: beyond one block
@@ -115,7 +121,7 @@ def global_transitions(df: DataFrame, limit: int | None = None, rows: int | None
     """
     series = in_one_order(df, limit=limit, rows=rows)
     series = series.colocate(BLOCK) if series.cut else series.colocate(FIRST)
-    return series.running(*_transition_counts("global")).df.drop(BLOCK)
+    return series.running(*_transition_counts("global"), keep=keep).df.drop(BLOCK)
 
 
 def transition_histogram(events: DataFrame, tuning: Tuning = Tuning(), limit: int | None = None) -> DataFrame:
@@ -238,17 +244,26 @@ def moving_averages(series: Series, value: str, tuning: Tuning = Tuning()) -> Se
 # --- hours ------------------------------------------------------------------------------------------------------
 
 
-def hour_counts(series: Series) -> Series:
-    """Earlier events in the same hour of day, and the deviation of the 24 hourly counts. Needs ``set_epochs``.
-
-    Adding an event to an hour that already has ``r - 1`` raises the sum of squares by ``2r - 1``, so the deviation
-    needs running sums only.
-    """
-    series = series.running(
+def _hours() -> list[Running]:
+    return [
         Running("hour_count", "sum", F.lit(1), ("epoch", "hour")),
         Running("_events", "sum", F.lit(1), ("epoch",)),
-    )
+    ]
+
+
+def _hour_spread(series: Series) -> Series:
+    """Adding an event to an hour that already has ``r - 1`` raises the sum of squares by ``2r - 1``."""
     series = series.running(Running("_squares", "sum", 2 * F.col("hour_count") + 1, ("epoch",)))
     mean = F.col("_events") / 24.0
     spread = F.sqrt(F.greatest(F.lit(0.0), F.col("_squares") / 24.0 - mean * mean))
     return series.transform(lambda df: df.withColumn("hour_stddev", spread).drop("_events", "_squares"))
+
+
+def hour_counts(series: Series) -> Series:
+    """Earlier events in the same hour of day, and the deviation of the 24 hourly counts. Needs ``set_epochs``."""
+    return _hour_spread(series.running(*_hours()))
+
+
+def all_counts(series: Series) -> Series:
+    """``seen_before``, ``user_transitions`` and ``hour_counts`` in one step. Needs ``set_epochs``."""
+    return _hour_spread(series.running(*_seen(), *_transition_counts("user"), *_hours()))

@@ -93,14 +93,12 @@ class Series:
         if not self.cut:
             return self._with(self.df.withColumns(lags(self._window())))
         inside = self._window()
-        marked = materialise(
-            self.df.withColumns(
-                {
-                    **lags(inside),
-                    "_rank": F.row_number().over(inside),
-                    "_later": F.lead(F.lit(1), depth).over(inside),
-                }
-            )
+        marked = self.df.withColumns(
+            {
+                **lags(inside),
+                "_rank": F.row_number().over(inside),
+                "_later": F.lead(F.lit(1), depth).over(inside),
+            }
         )
         # The first rows of a block look back into earlier blocks. The rows at both ends of all blocks of a key,
         # in order, hold every row they can reach: a table of at most 2 x depth rows per block.
@@ -108,17 +106,21 @@ class Series:
         across = Window.partitionBy(*self.key).orderBy(*self.order)
         heads = ends.withColumns(lags(across)).where(F.col("_rank") <= depth)
         body = marked.where(F.col("_rank") > depth)
-        return self._with(materialise(body.unionByName(heads).drop("_rank", "_later")))
+        return self._with(body.unionByName(heads).drop("_rank", "_later"))
 
-    def running(self, *specs: Running) -> Series:
-        """Adds one running value per spec."""
+    def running(self, *specs: Running, keep: bool = True) -> Series:
+        """Adds one running value per spec.
+
+        With blocks, the rows are read once for the values and once per spec for the block totals, so steps that
+        build on each other write their result down in between; ``keep=False`` leaves that out at the end of a chain.
+        """
         inside = {s.name: _inside(s, self._window(s.by)) for s in specs}
         result = self.df.withColumns(inside)
         if not self.cut:
             return self._with(result)
         for spec in specs:
             result = self._open(result, spec)
-        return self._with(materialise(result))
+        return self._with(materialise(result) if keep else result)
 
     def _open(self, result: DataFrame, spec: Running) -> DataFrame:
         groups = [*self.key, *spec.by]
@@ -183,6 +185,11 @@ class ByKey:
         self._few = few
         self.rows = rows
 
+    @property
+    def split(self) -> bool:
+        """Whether there are oversized keys."""
+        return self._oversized is not None
+
     def apply(self, *steps: Callable[[Series], Series]) -> ByKey:
         parts = self.parts
         for step in steps:

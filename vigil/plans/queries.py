@@ -369,7 +369,7 @@ def hour_histogram(ev: DataFrame) -> DataFrame:
 def _detect_new(column: str, name: str) -> None:
     @query(f"detect_{name}")
     def detect(ev: DataFrame) -> DataFrame:
-        rows = over_users(ev, previous, epochs, lambda s: h.seen_before(s, (column,)))
+        rows = over_users(ev, previous, epochs, lambda s: h.seen_before(s, column))
         return rows.select("event_id", det.new_value(column).alias(name))
 
 

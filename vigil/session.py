@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,7 +24,6 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "vig
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.codegen.cache.maxEntries", "2000")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -44,10 +45,34 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or current
 
 
+_folders: dict[str, str] = {}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def intermediate_folder(spark: SparkSession) -> str:
+    """This application's own folder below the shared one; it goes when the application ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _folders:
+        _folders[application] = f"{shared_folder(spark)}/intermediate-{application}"
+        atexit.register(_delete, spark, _folders[application])
+    return _folders[application]
+
+
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and go on from the written rows."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and go on from the written rows.
+
+    The lineage ends there: a lost executor cannot bring back other rows, and readers take the columns they need.
+    """
+    path = f"{intermediate_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def rows_per_block(spark: SparkSession, limit: int | None = None) -> int:

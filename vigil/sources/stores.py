@@ -99,9 +99,12 @@ class Store:
         return f"{self.folder}/{table}"
 
     def append(self, rows: DataFrame, table: str, time_column: str) -> None:
-        """One directory per day. Each task writes the days it holds, so a busy day has many writers."""
+        """One directory per day, in files of even size.
+
+        Rows are brought together by day; a day too large for one writer is split and small days share one.
+        """
         dated = rows.withColumn("day", F.to_date(time_column))
-        dated.write.mode("append").partitionBy("day").parquet(self.path(table))
+        dated.hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(self.path(table))
 
     def write_batch(self, rows: DataFrame, table: str, batch_id: int) -> None:
         """Write one micro-batch as one partition. A repeated batch replaces itself."""
