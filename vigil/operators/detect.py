@@ -45,6 +45,25 @@ HISTORY_COLUMNS = (
     "country",
 )
 
+# What nothing after the user's history reads, and what the second stage and the verdict still read.
+SPENT = ("ip", "user_agent", "country", "sec_1", "sec_2", "epoch")
+SECOND_STAGE_COLUMNS = (
+    "event_id",
+    "seq",
+    "ts",
+    "sec",
+    "hour",
+    "user_id",
+    "session_id",
+    "event_type",
+    "type_count",
+    "hour_count",
+    "hour_stddev",
+    "stage1_type",
+    "stage1_message",
+    "clean",
+)
+
 NEW_VALUE = (("ip", "new_ip"), ("user_agent", "new_user_agent"), ("country", "new_country"))
 
 
@@ -164,14 +183,15 @@ def stage2(df: DataFrame, tuning: Tuning = Tuning()) -> DataFrame:
 
 
 def analyse(events: DataFrame, tuning: Tuning = Tuning(), limit: int | None = None) -> DataFrame:
-    """Every column of both stages, one row per event.
+    """Both stages, one row per event.
 
     The moving averages advance on clean events only. They are computed on series keyed by user, type and ``clean``,
     so flagged events never touch the series of clean ones and no row leaves the table in between.
     """
-    history = user_history(events, tuning, limit)
+    history = user_history(events, tuning, limit).apply(lambda s: s.transform(lambda df: df.drop(*SPENT)))
     counted = global_transitions(history.frame(), limit, history.rows, keep=history.split)
-    series = history.again(stage1(counted, tuning), CLEAN_SERIES, ("sec", "seq"))
+    first = stage1(counted, tuning).select(*SECOND_STAGE_COLUMNS)
+    series = history.again(first, CLEAN_SERIES, ("sec", "seq"))
     averaged = series.apply(lambda s: s.colocate(), lambda s: moving_averages(s, "type_count", tuning))
     return stage2(averaged.frame(), tuning)
 

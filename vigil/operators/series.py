@@ -129,7 +129,9 @@ class Series:
         opening = totals.select(*groups, BLOCK, _over_blocks(spec, earlier).alias("_opening")).where(
             F.col("_opening").isNotNull()
         )
-        joined = join_null_safe(result, opening, [*groups, BLOCK], "left")
+        # Written down first, so that the planner knows its size: small tables are broadcast and leave the rows where
+        # they are, large ones (one row per value and block) are joined by shuffle.
+        joined = join_null_safe(result, materialise(opening), [*groups, BLOCK], "left")
         return joined.withColumn(spec.name, _combine(spec, F.col(spec.name), F.col("_opening"))).drop("_opening")
 
 

@@ -26,7 +26,10 @@ class Broker:
     options: dict[str, str] = field(default_factory=dict)
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
-        """Records in the order of their partition; ``seq`` is the offset."""
+        """Records with ``seq``, which follows the offsets of a partition and is unique over all of them.
+
+        A user's events share a partition, so ``seq`` is their order of arrival.
+        """
         rows = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", self.servers)
@@ -36,9 +39,8 @@ class Broker:
             .options(**self.options)
             .load()
         )
-        return rows.select(
-            F.col("key").cast("string"), F.col("value").cast("string"), F.col("offset").alias("seq"), "partition"
-        )
+        seq = F.shiftleft("offset", 12) + F.col("partition")
+        return rows.select(F.col("key").cast("string"), F.col("value").cast("string"), seq.alias("seq"))
 
     def write(self, records: DataFrame, topic: str) -> DataStreamWriter:
         return (
