@@ -201,3 +201,45 @@ def test_histogram_has_both_orders(spark):
 def test_small_sigma_never_fires(events):
     rows = detect.analyse(events, TUNING).where("clean AND sigma < 1 AND stage2_type = 'ema_outlier'")
     assert rows.count() == 0
+
+
+# --- scenarios of a traffic simulator: identity of the user (G) or a new one (R) per event -----------------------
+
+GOOD, NEW = "G", "R"
+SCENARIOS = {
+    "normal": ([(GOOD, "login"), (GOOD, "payment"), (GOOD, "logout")], ["", "", ""]),
+    "anomalous login": ([(NEW, "login")], ["new_ip"]),
+    "brute force": ([(NEW, "failed_login")] * 5, ["new_ip"] * 5),
+    "account takeover": (
+        [(GOOD, "login"), (NEW, "password_reset"), (NEW, "login")],
+        ["", "new_ip", "new_ip"],
+    ),
+    "bot activity": ([(NEW, "login"), (NEW, "payment"), (NEW, "other")], ["new_ip"] * 3),
+    "fraud payment": ([(GOOD, "login"), (NEW, "payment")], ["", "new_ip"]),
+    "payment retry": (
+        [(GOOD, "login"), (NEW, "payment"), (GOOD, "payment"), (GOOD, "logout")],
+        ["", "new_ip", "", ""],
+    ),
+    "profile update": ([(GOOD, "login"), (GOOD, "other"), (GOOD, "logout")], ["", "", ""]),
+}
+
+
+def test_scenarios(spark):
+    """Six ordinary days, then one scenario per user, all at ten in the morning."""
+    data, expected = [], {}
+    for user, (steps, verdict) in enumerate(SCENARIOS.values(), 1):
+        past = [
+            (user, t, d * 86400 + 10 * HOUR + i, *ME)
+            for d in range(6)
+            for i, t in enumerate(["login", "payment", "logout"])
+        ]
+        today = [
+            (user, t, 6 * 86400 + 10 * HOUR + i, *(ME if who == GOOD else (f"r{i}", f"r{i}", "XX")))
+            for i, (who, t) in enumerate(steps)
+        ]
+        data += past + today
+        expected[user] = verdict
+    got = detect.stat_verdicts(frame(spark, data), Tuning(min_total_global=10_000)).orderBy("seq").collect()
+    for user, verdict in expected.items():
+        mine = [r["anomaly_type"] for r in got if r["user_id"] == user]
+        assert mine[-len(verdict) :] == verdict, list(SCENARIOS)[user - 1]
