@@ -27,6 +27,7 @@ from vigil.sources.stores import Store
 from vigil.streaming import processors as p
 
 DAY_MS = 86_400_000
+MOST_TRANSITIONS = 100_000
 
 
 def valid_events(records: DataFrame) -> DataFrame:
@@ -65,9 +66,16 @@ def user_history(events: DataFrame, tuning: Tuning = Tuning(), ttl_ms: int | Non
 def strict_verdicts(
     events: DataFrame, stored_events: DataFrame, tuning: Tuning = Tuning(), ttl_ms: int | None = None
 ) -> DataFrame:
-    """Verdicts in strict mode. The histogram of the stored events has one row per combination of types."""
+    """Verdicts in strict mode.
+
+    The histogram of the stored events has one row per combination of three types. It travels with every task, so more
+    than ``MOST_TRANSITIONS`` rows are refused; the other streaming mode joins the histogram and has no such limit.
+    """
     histogram = transition_histogram(stored_events, tuning).where("markov_order = 2")
-    counts = {(r["prev2"], r["prev1"], r["cur"]): r["n"] for r in histogram.collect()}
+    rows = histogram.limit(MOST_TRANSITIONS + 1).collect()
+    if len(rows) > MOST_TRANSITIONS:
+        raise ValueError("too many event types for strict mode")
+    counts = {(r["prev2"], r["prev1"], r["cur"]): r["n"] for r in rows}
     return _keyed(events, "user_id", p.StrictHistory(tuning, counts, ttl_ms), p.STRICT_SCHEMA, ttl_ms)
 
 
