@@ -7,6 +7,8 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as driver
+from vigil.plans.oracle import ORACLE
+from vigil.plans.queries import QUERIES
 from vigil.session import DEFAULT_ROWS_PER_BLOCK, ROWS_PER_BLOCK
 
 
@@ -31,7 +33,7 @@ def compare(spark, engine, name):
     assert ordered(frame.columns, frame.collect()) == ordered(columns, relation.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, engine, name):
     compare(spark, engine, name)
 
@@ -50,4 +52,4 @@ def test_entry(spark):
 
 
 def test_queries_without_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"ae_train"}
+    assert set(QUERIES) - set(ORACLE) == {"ae_train"}
