@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from vigil.llm import exact
+from vigil.llm import exact, near
 
-MODULES = (exact,)
+MODULES = (exact, near)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}

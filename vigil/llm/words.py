@@ -117,3 +117,15 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
 
 def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
+
+
+def slices(batch: pa.RecordBatch, column: int, limit: int = 8 << 20):
+    """Cut a batch so that a string column's slice has about ``limit`` bytes at most (one longer row stands alone)."""
+    if batch.num_rows == 0:
+        return
+    _, offsets = byte_rows(batch.column(column))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
