@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from vigil.llm import exact, language, near
+from vigil.llm import decontam, exact, language, near
 
-MODULES = (exact, language, near)
+MODULES = (decontam, exact, language, near)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
