@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from vigil.llm import decontam, exact, language, near, pieces
+from vigil.llm import decontam, exact, language, near, pieces, repeats
 
-MODULES = (decontam, exact, language, near, pieces)
+MODULES = (decontam, exact, language, near, pieces, repeats)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}

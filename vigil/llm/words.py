@@ -129,3 +129,12 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = 8 << 20):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
         yield batch.slice(at, to - at)
         at = to
+
+
+def span_hashes(words: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the word hashes of each span, its length included."""
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(words) + 1, U)
+        np.cumsum(words * _powers(_BASE_INVERSE, len(words)), out=sums[1:])
+        value = (sums[ends] - sums[begins]) * _powers(_BASE, len(words) + 1)[begins]
+        return mixed(value + (ends - begins).astype(U) * U(0xD6E8FEB86659FD93))
