@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from vigil.llm import decontam, exact, language, near, pieces, repeats
+from vigil.llm import decontam, exact, language, licences, near, pieces, preference, repeats, urls
 
-MODULES = (decontam, exact, language, near, pieces, repeats)
+MODULES = (preference, repeats, decontam, licences, near, language, urls, pieces, exact)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
