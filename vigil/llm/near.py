@@ -4,9 +4,10 @@
 2. The set's minima under 144 universal hash functions form 36 bands of 4; sets that share a band are nominated. A pair at
    a similarity of exactly 0.75 shares none with a probability of about one in a million.
 3. Every member of a bucket is compared with the bucket's first document on the full sets.
-4. Only pairs of one bucket that are still in different components can add anything. They are filtered by size and by a
-   sketch of one bit per minimum (six standard deviations wide) inside the join, so pairs of a group are not written out,
-   and confirmed on the full sets.
+4. Only pairs of one bucket that are still in different components can add anything. The members outside the bucket's main
+   component are compared with the others inside the join's condition: by size, by a sketch of one bit per minimum (six
+   standard deviations wide) and by the intersection of the sets in 32-bit hashes, which loses no link. So the pairs of a group
+   are not written out, only links are; these are confirmed on the full sets.
 5. Components come from alternating large-star and small-star.
 
 Defined results: null or empty texts, and texts without words, have no shingles and no links; a null id links nothing;
@@ -31,6 +32,7 @@ PERCENT = 75
 BANDS = 36
 ROWS = 4
 MOST_BITS = 42
+SLACK = 2  # shingles of one set that may share a 32-bit hash
 _MULTIPLY = (keyed(BANDS * ROWS, 101) | U(1))[:, None]
 _ADD = keyed(BANDS * ROWS, 102)[:, None]
 _JOIN = keyed(ROWS, 103) | U(1)
@@ -93,8 +95,10 @@ def _full_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Reco
         for batch in slices(whole, 1):
             sets = [x.view(np.int64) for x in shingle_sets(batch.column(1), size)]
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "shingles"])
+            flat = np.concatenate(sets)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            low = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, low], names=["id", "shingles", "low"])
 
 
 def _sizes_fit(a: str, b: str, percent: int) -> Column:
@@ -127,7 +131,7 @@ def near_duplicates(
     sketches = sets.select("rep", "n", "w0", "w1", "w2")
 
     needed = members.select(F.col("rep").alias("id")).distinct()
-    full = stored(bare.join(needed, "id", "left_semi").mapInArrow(lambda b: _full_sets(b, size), f"id {kind}, shingles array<long>"))
+    full = stored(bare.join(needed, "id", "left_semi").mapInArrow(lambda b: _full_sets(b, size), f"id {kind}, shingles array<long>, low array<int>"))
     stars = members.filter("rep <> lead").select(F.col("lead").alias("u"), F.col("rep").alias("v")).distinct()
     links = stored(_confirmed(stars, full, percent).distinct())
     roots = components(links)
@@ -135,16 +139,21 @@ def near_duplicates(
     placed = members.join(roots, members["rep"] == roots["node"], "left").select(
         "band", "rep", "lead", F.coalesce("root", "rep").alias("comp")
     )
-    mixed_bands = placed.groupBy("band").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).filter("a <> b").select("band")
+    parts = placed.groupBy("band", "comp").agg(F.count("*").alias("m")).groupBy("band")
+    parts = parts.agg(F.count("*").alias("c"), F.max_by("comp", F.struct("m", "comp")).alias("main")).filter("c > 1")
     # the bucket's first document has been compared with all others
-    open_members = placed.filter("rep <> lead").join(mixed_bands, "band").join(sketches, "rep").select("band", "rep", "comp", "n", "w0", "w1", "w2")
-    open_members = stored(open_members)
-    if not open_members.isEmpty():
-        a, b = open_members.alias("a"), open_members.alias("b")
+    rest = placed.filter("rep <> lead").join(parts.select("band", "main"), "band")
+    low = full.select(F.col("id").alias("rep"), "low")
+    rest = stored(rest.join(sketches, "rep").join(low, "rep").select("band", "rep", "comp", "main", "n", "w0", "w1", "w2", "low"))
+    if not rest.isEmpty():
+        a, b = rest.filter("comp <> main").alias("a"), rest.alias("b")
         apart = sum((F.bit_count(F.col(f"a.w{i}").bitwiseXOR(F.col(f"b.w{i}"))) for i in range(3)), F.lit(0))
-        close = (F.col("a.comp") < F.col("b.comp")) & (apart <= MOST_BITS) & _sizes_fit("a.n", "b.n", percent)
-        rest = a.join(b, (F.col("a.band") == F.col("b.band")) & close).select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v"))
-        more = stored(_confirmed(rest.distinct(), full, percent).distinct())
+        both = F.size(F.array_intersect("a.low", "b.low")).cast("long") + SLACK
+        same = both * 100 >= (F.col("a.n") + F.col("b.n") - both) * percent
+        close = (F.col("a.comp") != F.col("b.comp")) & _sizes_fit("a.n", "b.n", percent) & (apart <= MOST_BITS) & same
+        pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & close)
+        pairs = pairs.select(F.least("a.rep", "b.rep").alias("u"), F.greatest("a.rep", "b.rep").alias("v")).distinct()
+        more = stored(_confirmed(pairs, full, percent).distinct())
         if not more.isEmpty():
             roots = components(links.unionByName(more))
 
