@@ -110,10 +110,13 @@ def test_training_improves_and_repeats(spark, events, tmp_path):
         tr.train(scaled.where("false"), config)
 
 
-def test_fit_and_artifacts(events, tmp_path):
+def test_fit_save_load_and_score(spark, events, tmp_path):
     trained = tr.fit(events, tr.TrainingConfig(epochs=2, batch_size=8, workers=2))
-    save_artifacts(trained, tmp_path)
-    loaded = load_artifacts(tmp_path)
+    save_artifacts(spark, trained, f"file://{tmp_path}/model")
+    loaded = load_artifacts(spark, f"file://{tmp_path}/model")
+    batches = feat.ml_batch_features(events)
+    scored = [ml_verdicts(batches, m.model, m.scaler, m.metrics["threshold"]) for m in (trained, loaded)]
+    assert scored[0].count() > 0 and rows(scored[0]) == rows(scored[1])
     assert np.array_equal(loaded.model.flat(), trained.model.flat())
     assert loaded.scaler == trained.scaler and loaded.metrics == trained.metrics
     assert trained.metrics["threshold"] > 0
@@ -129,6 +132,39 @@ def test_batches_of_losses(spark):
     assert result["test_loss"] == pytest.approx(np.mean(means))
 
 
+def test_batches_have_one_size_beyond_a_block(spark):
+    losses = spark.range(1000).select(F.col("id").cast("string").alias("session_id"), F.col("id").cast("double").alias("loss"))
+    whole = tr.batch_losses(losses, 256)
+    cut = tr.batch_losses(losses, 256, limit=150)
+    assert sorted(r["rows"] for r in cut.collect()) == [232, 256, 256, 256]
+    assert rows(cut) == rows(whole)
+
+
+def test_training_batches_cross_frames():
+    import pandas as pd
+
+    frames = [pd.DataFrame(np.full((n, 8), n, float), columns=list(FEATURES)) for n in (10, 3, 0, 20)]
+    sizes = [len(x) for x in tr._batches(iter(frames), 8, np.random.default_rng(0))]
+    assert sizes == [8, 8, 8, 8, 1]
+
+
+def test_one_worker_equals_a_plain_loop(spark, events):
+    config = tr.TrainingConfig(epochs=1, batch_size=16, workers=1)
+    frame = feat.session_features(events)
+    scaled = feat.scaler_transform(frame, feat.Scaler.fit(frame))
+    model, loss = tr.train(scaled, config)
+    x = scaled.orderBy("session_id").toPandas()[list(FEATURES)].to_numpy(float)
+    x = x[np.random.default_rng([config.seed, 0, 0]).permutation(len(x))]
+    w = Autoencoder.seeded(config.seed, config.hidden).flat()
+    m, v, losses = np.zeros_like(w), np.zeros_like(w), []
+    for t, at in enumerate(range(0, len(x), 16), 1):
+        value, g = Autoencoder.from_flat(w, config.hidden).loss_and_gradient(x[at : at + 16])
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g**2
+        w = w - config.learning_rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        losses.append(value)
+    assert np.allclose(model.flat(), w) and loss == pytest.approx(np.mean(losses))
+
+
 def test_split_is_repeatable(events):
     frame = feat.session_features(events)
     assert rows(tr.train_test_split(frame)) == rows(tr.train_test_split(frame.repartition(3)))
@@ -147,16 +183,16 @@ def test_retrain_decision(events):
         return row["retrain"], row["reason"]
 
     fresh = (AS_OF - timedelta(hours=1)).isoformat()
-    assert decide(0, fresh, min_new_events=999) == (True, "999 new events")
+    assert decide(0, fresh, min_new_events=999) == (True, "volume: 999 events to learn from")
     assert decide(500, fresh) == (False, "")
     old = (AS_OF - timedelta(hours=6)).isoformat()
-    assert decide(500, old) == (True, "max_hours_between_retrains reached")
+    assert decide(500, old) == (True, "age: the model is due")
     assert decide(500, None)[0] and decide(500, "never")[0]
     assert decide(500, None, max_hours=None) == (False, "")
 
 
 def test_retrainer_saves_its_state(spark, events, tmp_path):
-    path = tmp_path / "state.json"
+    path = f"file://{tmp_path}/state"
     calls = []
 
     def train(df):
@@ -164,11 +200,14 @@ def test_retrainer_saves_its_state(spark, events, tmp_path):
         return tr.TrainedModel(Autoencoder.seeded(), feat.Scaler((0.0,) * 8, (1.0,) * 8), {"threshold": 1.0})
 
     def retrainer():
-        return tr.Retrainer(train, lambda: load_state(path), lambda s: save_state(s, path), min_new_events=10)
+        return tr.Retrainer(train, lambda: load_state(spark, path), lambda s: save_state(spark, s, path), min_new_events=10)
 
     assert retrainer().poll(events.where("false"), AS_OF) is None
     assert retrainer().poll(events, AS_OF) is not None
     assert retrainer().poll(events, AS_OF) is None and calls == [1000]
-    assert load_state(path).last_event_id == 999
-    path.write_text("{broken")
-    assert load_state(path) == tr.TrainingState() and load_state(tmp_path / "none") == tr.TrainingState()
+    assert load_state(spark, path).last_event_id == 999
+    (tmp_path / "state" / "cut.json").write_text("{broken")
+    assert load_state(spark, path).last_event_id == 999
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "a.json").write_text("{broken")
+    assert load_state(spark, f"{tmp_path}/bad") == tr.TrainingState() == load_state(spark, f"{tmp_path}/none")

@@ -61,3 +61,8 @@ def improbable(total: Column, count: Column, min_total: int = 20) -> Column:
 def bucket_of(text: str | Column, buckets: int | Column) -> Column:
     """Repeatable bucket of a text: the first 32 bits of its MD5, modulo ``buckets``."""
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % buckets
+
+
+def has_offset(text: Column) -> Column:
+    """Whether a moment names its distance from UTC."""
+    return text.rlike(r"(?:[Zz]|[+-]\d{2}:?\d{2})$")

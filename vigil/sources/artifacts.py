@@ -1,51 +1,55 @@
-"""Model artifacts and the training state: small files in a folder."""
+"""Model artifacts and the training state as small tables in a shared folder.
+
+Everything is read and written by Spark, so a folder may be any address the cluster can open.
+"""
 
 from __future__ import annotations
 
-import json
-from dataclasses import asdict
-from pathlib import Path
+from dataclasses import fields
 
 import numpy as np
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vigil.operators.features import Scaler
 from vigil.operators.model import Autoencoder
 from vigil.operators.training import TrainedModel, TrainingState
 
+ARTIFACTS = "weights ARRAY<DOUBLE>, hidden INT, mean ARRAY<DOUBLE>, scale ARRAY<DOUBLE>, metrics MAP<STRING, DOUBLE>"
+STATE = "last_event_id LONG, trained_at STRING, total_events LONG, total_sessions LONG, metrics MAP<STRING, DOUBLE>"
+
 
-def save_artifacts(trained: TrainedModel, folder: str | Path) -> None:
-    folder = Path(folder)
-    folder.mkdir(parents=True, exist_ok=True)
-    np.savez(folder / "model.npz", weights=trained.model.flat(), hidden=trained.model.hidden)
-    (folder / "scaler.json").write_text(json.dumps(asdict(trained.scaler)))
-    (folder / "metrics.json").write_text(json.dumps(trained.metrics))
+def save_artifacts(spark: SparkSession, trained: TrainedModel, folder: str) -> None:
+    """One row: weights, scaler and metrics of a model."""
+    scaler = trained.scaler
+    weights = [float(w) for w in trained.model.flat()]
+    row = (weights, trained.model.hidden, list(scaler.mean), list(scaler.scale), trained.metrics)
+    spark.createDataFrame([row], ARTIFACTS).coalesce(1).write.mode("overwrite").parquet(folder)
 
 
-def load_artifacts(folder: str | Path) -> TrainedModel:
-    folder = Path(folder)
-    with np.load(folder / "model.npz") as saved:
-        model = Autoencoder.from_flat(saved["weights"], int(saved["hidden"]))
-    scaler = json.loads((folder / "scaler.json").read_text())
-    metrics = json.loads((folder / "metrics.json").read_text())
-    return TrainedModel(model, Scaler(tuple(scaler["mean"]), tuple(scaler["scale"])), metrics)
+def load_artifacts(spark: SparkSession, folder: str) -> TrainedModel:
+    row = spark.read.schema(ARTIFACTS).parquet(folder).first()
+    model = Autoencoder.from_flat(np.array(row["weights"]), row["hidden"])
+    return TrainedModel(model, Scaler(tuple(row["mean"]), tuple(row["scale"])), dict(row["metrics"]))
 
 
-def load_state(path: str | Path) -> TrainingState:
-    """The stored state; a missing or unreadable file means training starts from nothing."""
+def state_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """All states ever saved, typed by the declared schema: a line that is no state, and a missing folder, give no row."""
     try:
-        stored = json.loads(Path(path).read_text())
-        return TrainingState(
-            last_event_id=int(stored.get("last_event_id") or 0),
-            trained_at=stored.get("trained_at"),
-            total_events=int(stored.get("total_events") or 0),
-            total_sessions=int(stored.get("total_sessions") or 0),
-            metrics=stored.get("metrics") or {},
-        )
-    except (OSError, ValueError, TypeError, AttributeError):
-        return TrainingState()
-
-
-def save_state(state: TrainingState, path: str | Path) -> None:
-    path = Path(path)
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(json.dumps(asdict(state), indent=2))
+        lines = spark.read.text(folder)
+    except AnalysisException:
+        return spark.createDataFrame([], STATE)
+    return lines.select(F.from_json("value", STATE).alias("state")).select("state.*").where("last_event_id IS NOT NULL")
+
+
+def load_state(spark: SparkSession, folder: str) -> TrainingState:
+    """The state that has seen most; without any, training starts from nothing."""
+    newest = state_rows(spark, folder).orderBy(F.desc("last_event_id"), F.desc("trained_at")).first()
+    return TrainingState(**newest.asDict()) if newest else TrainingState()
+
+
+def save_state(spark: SparkSession, state: TrainingState, folder: str) -> None:
+    """Add one line; earlier states stay, so a run that is cut off loses nothing."""
+    row = tuple(getattr(state, f.name) for f in fields(state))
+    spark.createDataFrame([row], STATE).coalesce(1).write.mode("append").json(folder)
