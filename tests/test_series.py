@@ -80,7 +80,7 @@ def test_no_task_holds_a_hot_key(skewed):
 
 def test_window_counts_agree(events):
     def counts(limit):
-        series = users(events, limit).apply(lambda s: count_in_window(s, F.lit(86400), 86400, "n"))
+        series = users(events, limit).apply(lambda s: count_in_window(s, F.lit(86400), [86400], "n"))
         return rows(series.frame().select("event_id", "n"))
 
     assert counts(10_000) == counts(30)
@@ -90,35 +90,48 @@ def test_window_counts_of_dense_events(spark):
     data = [(1, s // 3, s) for s in range(300)]
     df = spark.createDataFrame(data, "user_id LONG, sec LONG, seq LONG")
     for limit in (10_000, 40):
-        got = by_key(df, USER, limit=limit).apply(lambda s: count_in_window(s, F.lit(10), 10, "n")).frame().collect()
+        got = by_key(df, USER, limit=limit).apply(lambda s: count_in_window(s, F.lit(10), [10], "n")).frame().collect()
         for r in got:
             expected = sum(1 for _, sec, seq in data if sec >= r["sec"] - 10 and (sec, seq) < (r["sec"], r["seq"]))
             assert r["n"] == expected
 
 
-@pytest.mark.parametrize("limit", [10_000, 90])
-def test_averages_follow_the_recurrence(spark, limit):
+@pytest.mark.parametrize("alpha", [0.01, 0.05, 0.3, 0.9, 1.0])
+@pytest.mark.parametrize("limit", [10_000, 400])
+def test_averages_follow_the_recurrence(spark, limit, alpha):
     rng = random.Random(1)
     sec, data = 0, []
-    for i in range(700):
+    for i in range(1500):
         sec += rng.choice([10, 10, 10, 3 * 86400 * 10 if i == 400 else 10])
         data.append((1, "login", sec, i, rng.randrange(9)))
     df = spark.createDataFrame(data, "user_id LONG, event_type STRING, sec LONG, seq LONG, v LONG")
-    tuning = Tuning(ema_ttl=86400)
+    tuning = Tuning(ema_ttl=86400, alpha=alpha)
     got = by_key(df, ["user_id", "event_type"], limit=limit).apply(lambda s: moving_averages(s, "v", tuning)).frame()
     ema = sigma = last = None
     for r, (_, _, at, _, v) in zip(got.orderBy("seq").collect(), data, strict=True):
         if ema is None or at - last >= 86400:
             ema, sigma, deviation = float(v), 0.0, 0.0
         else:
-            ema = 0.3 * v + 0.7 * ema
+            ema = alpha * v + (1 - alpha) * ema
             deviation = abs(v - ema)
-            sigma = 0.3 * deviation + 0.7 * sigma
+            sigma = alpha * deviation + (1 - alpha) * sigma
         last = at
         assert r["ema"] == pytest.approx(ema, abs=1e-12)
         assert r["sigma"] == pytest.approx(sigma, abs=1e-12)
 
 
+def test_windows_without_a_common_length(spark):
+    lengths = [907, 613, 3581, 86_399]
+    data = [(u, s * (37 + u), i) for u in range(4) for i, s in enumerate(range(200))]
+    df = spark.createDataFrame(data, "user_id LONG, sec LONG, seq LONG")
+    span = F.element_at(F.array(*map(F.lit, lengths)), (F.col("user_id") + 1).cast("int"))
+    for limit in (10_000, 60):
+        got = by_key(df, USER, limit=limit).apply(lambda s: count_in_window(s, span, lengths, "n")).frame().collect()
+        for r in got:
+            mine = [s for u, s, i in data if u == r["user_id"] and (s, i) < (r["sec"], r["seq"])]
+            assert r["n"] == sum(s >= r["sec"] - lengths[r["user_id"]] for s in mine)
+
+
 def test_type_windows_of_unknown_types(spark):
     data = [(1, t, s, i) for i, (t, s) in enumerate([("odd", 0), ("odd", 3600), ("odd", 7201), ("payment", 7801), ("payment", 8401), ("payment", 9002)])]
     df = spark.createDataFrame(data, "user_id LONG, event_type STRING, sec LONG, seq LONG")

@@ -5,9 +5,10 @@ Every step takes a ``Series`` keyed by user (or by user and type) and adds colum
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
-from math import lcm
+from math import ceil, log
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +29,6 @@ class Tuning:
     set_ttl: int = 14 * DAY
     ema_ttl: int = 30 * DAY
     alpha: float = 0.3
-    ema_chunk: int = 128
     ema_k: float = 2.5
     ema_k_small: float = 4.0
     min_total_user: int = 20
@@ -148,34 +148,36 @@ def transition_histogram(events: DataFrame, tuning: Tuning = Tuning(), limit: in
 # --- frequency --------------------------------------------------------------------------------------------------
 
 
-def type_window(tuning: Tuning) -> tuple[Column, int]:
-    """Window seconds of the row's type, and a common multiple of all windows."""
+def type_window(tuning: Tuning) -> tuple[Column, list[int]]:
+    """Window seconds of the row's type, and all lengths there are."""
     chain = reduce(
         lambda c, item: c.when(F.col("event_type") == item[0], F.lit(item[1])),
         tuning.type_windows.items(),
         F.when(F.lit(False), F.lit(0)),
     )
-    return chain.otherwise(F.lit(tuning.default_type_window)).cast("long"), lcm(
-        *tuning.type_windows.values(), tuning.default_type_window
-    )
+    lengths = sorted({*tuning.type_windows.values(), tuning.default_type_window})
+    return chain.otherwise(F.lit(tuning.default_type_window)).cast("long"), lengths
 
 
-def count_in_window(series: Series, span: Column, common: int, name: str = "count_before") -> Series:
+def count_in_window(series: Series, span: Column, lengths: Sequence[int], name: str = "count_before") -> Series:
     """Earlier rows of the key that are at most ``span`` seconds old, both ends included.
 
-    ``span`` is constant within a key and divides ``common``. The count is a rank minus the number of rows that are
-    already too old; both are frames that only grow, so the cost is linear however dense the events are. Time is
-    stretched to ``common`` per window, which lets one frame serve keys with different windows.
+    ``span`` is constant within a key and one of ``lengths``. The count is a rank minus the number of rows that are
+    already too old; both are frames that only grow, so the cost is linear however dense the events are. Each length has
+    a frame of its own over the same sort.
     """
     span = span.cast("long")
     if not series.cut:
-        stretched = series.df.withColumn("_at", F.col("sec") * (F.lit(common) / span).cast("long"))
-        rank = Window.partitionBy(*series.key).orderBy("_at", "seq")
-        older = Window.partitionBy(*series.key).orderBy("_at").rangeBetween(Window.unboundedPreceding, -(common + 1))
-        counted = stretched.withColumns(
-            {"_rank": F.row_number().over(rank), "_older": F.count(F.lit(1)).over(older)}
-        ).withColumn(name, (F.col("_rank") - 1 - F.col("_older")).cast("long"))
-        return series.transform(lambda _: counted.drop("_at", "_rank", "_older"))
+        rank = Window.partitionBy(*series.key).orderBy("sec", "seq")
+        by_time = Window.partitionBy(*series.key).orderBy("sec")
+        older = {
+            f"_older_{n}": F.count(F.lit(1)).over(by_time.rangeBetween(Window.unboundedPreceding, -(n + 1))) for n in lengths
+        }
+        mine = F.coalesce(*(F.when(span == n, F.col(f"_older_{n}")) for n in lengths))
+        counted = series.df.withColumns({"_rank": F.row_number().over(rank), **older}).withColumn(
+            name, (F.col("_rank") - 1 - mine).cast("long")
+        )
+        return series.transform(lambda _: counted.drop("_rank", *older))
     # In blocks the rows that are too old may lie in any earlier block. Each event therefore leaves a second row
     # behind at the moment it gets too old, and the count is a running sum of arrivals and departures.
     rows = series.df.drop(BLOCK)
@@ -199,34 +201,40 @@ def count_in_window(series: Series, span: Column, common: int, name: str = "coun
 
 def type_counts(series: Series, tuning: Tuning = Tuning(), name: str = "type_count") -> Series:
     """Earlier events of the same user and type within that type's window. The result is keyed by user and type."""
-    span, common = type_window(tuning)
-    return count_in_window(series.rekey(USER_TYPE), span, common, name)
+    span, lengths = type_window(tuning)
+    return count_in_window(series.rekey(USER_TYPE), span, lengths, name)
 
 
 def moving_averages(series: Series, value: str, tuning: Tuning = Tuning()) -> Series:
     """Exponential moving average ``ema`` of ``value`` and of its deviation, ``sigma``, within the key.
 
     ``ema_n = a x_n + (1-a) ema_(n-1)``, seeded with the first value and reset after ``ema_ttl`` idle seconds. The
-    rows of a series are taken in chunks of ``ema_chunk``: inside a chunk the average is a running sum of terms
-    weighted by ``(1-a)^-j``, and the chunk before enters with one closing value. What two chunks back contributes is
-    below ``0.7^128`` = 1.5e-20 of the values, so the result is exact to the last digit of a double.
+    rows of a series are taken in chunks: inside a chunk the average is a running sum of terms weighted by ``(1-a)^-j``,
+    and the chunk before enters with its closing value. A chunk is as long as it takes ``(1-a)^n`` to fall to 1e-140, for
+    any ``a``: weights and sums stay far inside a double, and what lies two chunks back is far below its last digit. With
+    ``a = 1`` every average is its own value.
     """
     keep = 1.0 - tuning.alpha
+    if not 0 < tuning.alpha <= 1:
+        raise ValueError("alpha must be above 0 and at most 1")
+    chunk = ceil(140 * log(10) / -log(keep)) if keep else 1
     idle = F.coalesce(F.col("_upd") - F.col("_upd_1") >= tuning.ema_ttl, F.lit(False)).cast("long")
     series = series.with_columns({"_upd": F.col("sec")}).lag(["_upd"], 1).with_columns({"_idle": idle})
     series = series.running(Running("_resets", "sum", F.col("_idle"))).with_columns(
         {"_run": F.col("_resets") + F.col("_idle")}
     )
     series = series.running(Running("_pos", "sum", F.lit(1), ("_run",))).with_columns(
-        {"_chunk": F.floor(F.col("_pos") / tuning.ema_chunk), "_j": F.col("_pos") % tuning.ema_chunk}
+        {"_chunk": F.floor(F.col("_pos") / chunk), "_j": F.col("_pos") % chunk}
     )
 
     def fold(s: Series, x: Column, name: str) -> Series:
+        if not keep:
+            return s.with_columns({name: x})
         weight = F.when(F.col("_pos") == 0, 1.0).otherwise(tuning.alpha)
         s = s.with_columns({"_term": x * weight * F.pow(F.lit(keep), -F.col("_j"))})
         s = s.running(Running("_sum", "sum", F.col("_term"), ("_run", "_chunk")))
         s = s.with_columns({"_open": (F.col("_sum") + F.col("_term")) * F.pow(F.lit(keep), F.col("_j"))})
-        closing = F.when(F.col("_j") == tuning.ema_chunk - 1, F.col("_open"))
+        closing = F.when(F.col("_j") == chunk - 1, F.col("_open"))
         s = s.running(Running("_closed", "last", closing, ("_run",)))
         carried = F.coalesce(F.col("_closed"), F.lit(0.0)) * F.pow(F.lit(keep), F.col("_j") + 1)
         return s.transform(

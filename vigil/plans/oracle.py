@@ -39,10 +39,10 @@ def _level(scope: str, order: int) -> str:
     return f"CASE WHEN visible_{order} THEN {test} END"
 
 
-def _fold(column: str, order: str = "pos", within: str = "user_id, event_type") -> str:
+def _fold(column: str, order: str = "pos", within: str = "user_id, event_type", alpha: float = 0.3) -> str:
     return (
         f"list_reduce(list({column}) OVER (PARTITION BY {within} ORDER BY {order} "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), lambda a, x: 0.3 * x + 0.7 * a)"
+        f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), lambda a, x: {alpha} * x + {round(1 - alpha, 9)} * a)"
     )
 
 
@@ -563,6 +563,13 @@ sql(
 )
 sql("detect_markov", "mk", "SELECT event_id, markov_anomaly, markov_message FROM mk")
 sql("ema_count", "all_avg", "SELECT event_id, round(ema + 1e-10, 6) AS ema FROM all_avg")
+_SLOW = {"order": "sec, seq", "within": "event_type", "alpha": 0.05}
+sql(
+    "ema_count_slow",
+    "ev",
+    f"SELECT event_id, round(ema + 1e-10, 6) AS ema, round({_fold('abs(x - ema)', **_SLOW)} + 1e-10, 6) AS sigma "
+    f"FROM (SELECT *, {_fold('x', **_SLOW)} AS ema FROM (SELECT *, (event_id % 97)::DOUBLE AS x FROM ev))",
+)
 sql(
     "ema_deviation",
     "all_avg",
@@ -657,7 +664,7 @@ sql(
     "retrain_decision",
     "",
     "SELECT count(*) AS new_events, coalesce(max(event_id), 500) AS max_event_id, count(*) >= 2000 AS retrain, "
-    "CASE WHEN count(*) >= 2000 THEN count(*) || ' new events' ELSE '' END AS reason FROM events WHERE event_id > 500",
+    "CASE WHEN count(*) >= 2000 THEN 'volume: ' || count(*) || ' events to learn from' ELSE '' END AS reason FROM events WHERE event_id > 500",
 )
 
 # --- fusion -----------------------------------------------------------------------------------------------------

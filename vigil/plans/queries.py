@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +31,7 @@ from vigil.plans.results import (
     results,
 )
 from vigil.schemas import FEATURES
-from vigil.session import shared_folder
+from vigil.session import intermediate_folder
 from vigil.sources import stores, topics
 from vigil.sources.canon import event_records, load_canonical
 
@@ -89,7 +90,7 @@ def additional(events: DataFrame) -> DataFrame:
 
 
 def new_store(df: DataFrame) -> stores.Store:
-    return stores.Store(df.sparkSession, f"{shared_folder(df.sparkSession)}/store-{uuid.uuid4().hex}")
+    return stores.Store(df.sparkSession, f"{intermediate_folder(df.sparkSession)}/store-{uuid.uuid4().hex}")
 
 
 # --- sources and sinks ------------------------------------------------------------------------------------------
@@ -156,7 +157,7 @@ def scan_training_events(ev: DataFrame) -> DataFrame:
 def retention_7d(ev: DataFrame) -> DataFrame:
     store = new_store(ev)
     store.append(stores.raw_event_rows(additional(ev)), "raw_events", "timestamp")
-    kept = store.retain("raw_events", "raw_events_kept", AS_OF)
+    kept = store.retain("raw_events", AS_OF)
     return kept.select("id", "user_id", "event_type", "timestamp")
 
 
@@ -318,7 +319,7 @@ WEEK = 7 * 86400
 
 @query("win_range_events")
 def win_range_events(ev: DataFrame) -> DataFrame:
-    return over_users(ev, lambda s: h.count_in_window(s, F.lit(WEEK), WEEK, "events_before")).select(
+    return over_users(ev, lambda s: h.count_in_window(s, F.lit(WEEK), [WEEK], "events_before")).select(
         "event_id", "events_before"
     )
 
@@ -326,7 +327,7 @@ def win_range_events(ev: DataFrame) -> DataFrame:
 @query("win_type_count")
 def win_type_count(ev: DataFrame) -> DataFrame:
     return over_users(
-        ev, lambda s: h.count_in_window(s.rekey(h.USER_TYPE), F.lit(WEEK), WEEK, "type_count")
+        ev, lambda s: h.count_in_window(s.rekey(h.USER_TYPE), F.lit(WEEK), [WEEK], "type_count")
     ).select("event_id", "type_count")
 
 
@@ -430,6 +431,15 @@ def all_averages(ev: DataFrame) -> DataFrame:
     )
 
 
+@query("ema_count_slow")
+def ema_count_slow(ev: DataFrame) -> DataFrame:
+    """An average with a long memory, over all events of a type whoever they are from: long series."""
+    slow = replace(TUNING, alpha=0.05, ema_ttl=10**9)
+    series = h.by_key(ev.withColumns({"x": F.pmod("event_id", F.lit(97))}), ("event_type",))
+    averaged = series.apply(lambda s: h.moving_averages(s.colocate(), "x", slow)).frame()
+    return averaged.select("event_id", settled("ema"), settled("sigma"))
+
+
 @query("ema_deviation")
 def ema_deviation(ev: DataFrame) -> DataFrame:
     return all_averages(ev).select("event_id", settled("deviation"), settled("sigma"))

@@ -15,7 +15,7 @@ from vigil.operators.fusion import fuse
 from vigil.operators.history import Tuning
 from vigil.operators.model import Autoencoder, loss_column, ml_verdicts
 from vigil.operators.training import evaluate, train_test_split
-from vigil.session import materialise, shared_folder
+from vigil.session import intermediate_folder, materialise
 from vigil.sources.canon import TIME_SCALE, load_canonical
 from vigil.sources.stores import Store
 
@@ -78,7 +78,7 @@ def stat_table(events: DataFrame) -> DataFrame:
 
 def build_results(spark: SparkSession, folder: str) -> Store:
     """Run the pipeline over the whole event table and store what it gives."""
-    store = Store(spark, f"{shared_folder(spark)}/results-{uuid.uuid4().hex}")
+    store = Store(spark, f"{intermediate_folder(spark)}/results-{uuid.uuid4().hex}")
     events = load_canonical(spark, folder)
     store.append(stat_table(events), "stat_results", "timestamp")
     store.append(model_verdicts(events), "ml_results", "timestamp")
