@@ -37,13 +37,20 @@ def test_retention_keeps_the_boundary(spark, store, events):
     moved = raw(events).limit(2).withColumn("timestamp", F.lit(edge).cast("timestamp_ntz"))
     old = raw(events).limit(1).withColumn("timestamp", F.lit(datetime(2024, 1, 23, 23, 59, 59)).cast("timestamp_ntz"))
     store.append(moved.unionByName(old), "raw", "timestamp")
-    assert store.retain("raw", "kept", AS_OF).count() == 2
+    store.append(raw(events), "raw", "timestamp")
+    want = raw(events).where(F.col("timestamp") >= F.lit(edge).cast("timestamp_ntz")).count() + 2
+    assert store.days("raw")[0] < "2024-01-24"
+    for _ in range(2):
+        assert store.retain("raw", AS_OF).count() == want
+        assert store.days("raw")[0] == "2024-01-24"
 
 
 def test_repeated_batches_replace_themselves(store, events):
     for _ in range(2):
         store.write_batch(raw(events), "raw", 3)
     store.sink("raw")(raw(events).limit(5), 3)
+    assert store.read("raw").count() == 5  # a repeated batch runs again and its rows take the place of the earlier ones
+    store.sink("raw")(raw(events), 3)
     assert store.read("raw").count() == events.count()
     store.write_batch(raw(events).where("false"), "raw", 4)
     assert store.has_batch("raw", 4) and store.batch("raw", 4).count() == 0

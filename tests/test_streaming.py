@@ -13,6 +13,7 @@ from vigil.sources.canon import event_records
 from vigil.sources.stores import Store
 from vigil.sources.topics import EVENTS, Folder
 from vigil.streaming import jobs
+from vigil.streaming import processors as p
 
 
 def rounded(df):
@@ -117,6 +118,101 @@ def test_strict_mode_leaves_failed_events_out(spark, topic, arrived, tmp_path):
     assert failed > 0 and len(strict) == arrived.count()
 
 
+def test_order_survives_a_batch_of_many_files(spark, first_stage, arrived, tmp_path):
+    """Every micro-batch of the first stage lies in several files, and these are read one per step."""
+    names = [c for c in first_stage.batch("stage1", 0).columns]
+    store = Store(spark, str(tmp_path / "in"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for b in range(2):
+            half = first_stage.read("stage1").where(F.col("batch_id").between(2 * b, 2 * b + 1)).select(*names)
+            store.write_batch(half.repartition(4), "stage1", b, ("user_id", "event_type"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(list((tmp_path / "in" / "stage1").rglob("part-*.parquet"))) > 8
+    schema = ", ".join(f"{n} {t}" for n, t in first_stage.batch("stage1", 0).dtypes)
+    verdicts = jobs.stat_verdicts(store.stream("stage1", schema, 1), TUNING)
+    jobs.store_stream(verdicts, store, "verdicts", str(tmp_path / "checkpoint")).awaitTermination()
+    assert rows(store.read("verdicts").drop("batch_id")) == rows(detect.stat_verdicts(arrived, TUNING))
+
+
+def start_again(start, checkpoint):
+    """Run, forget that the last batch was committed, run again."""
+    start().awaitTermination()
+    commits = sorted((checkpoint / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    for f in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        f.unlink(missing_ok=True)
+    start().awaitTermination()
+
+
+def test_first_stage_starts_again(spark, topic, first_stage, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    stream = jobs.valid_events(topic.read(spark, EVENTS))
+    start_again(lambda: jobs.start_first_stage(stream, store, str(tmp_path / "c"), TUNING), tmp_path / "c")
+    for table in ("history", "stage1", "transitions"):
+        assert rows(rounded(store.read(table))) == rows(rounded(first_stage.read(table)))
+
+
+@pytest.mark.parametrize("ttl_ms", [None, 400 * jobs.DAY_MS])
+def test_model_verdicts_start_again(spark, topic, arrived, tmp_path, ttl_ms):
+    scaler, model = Scaler.fit(session_features(arrived)), Autoencoder.seeded(3)
+    store = Store(spark, str(tmp_path / "out"))
+    stream = jobs.valid_events(topic.read(spark, EVENTS))
+
+    def start():
+        verdicts = jobs.model_verdicts(stream, model, scaler, 1.0, 1.0, ttl_ms=ttl_ms)
+        return jobs.store_stream(verdicts, store, "ml", str(tmp_path / "c"))
+
+    start_again(start, tmp_path / "c")
+    table = ml_verdicts(ml_batch_features(arrived), model, scaler, 1.0, 1.0)
+    assert rows(rounded(store.read("ml").drop("batch_id"))) == rows(rounded(table))
+
+
+def test_silent_sessions_leave_no_state(spark, tmp_path):
+    """Sessions fall silent one after the other; with an expiry the run ends by itself and forgets them."""
+    base = "session_id STRING, seq LONG, sec LONG, timestamp TIMESTAMP_NTZ, anomaly BOOLEAN"
+    for step in range(4):
+        some = spark.range(step * 20, step * 20 + 20).select(
+            F.concat(F.lit("s"), "id").alias("session_id"), F.col("id").alias("seq"), F.lit((step + 1) * 10_000).cast("long").alias("sec"),
+            F.timestamp_seconds(F.lit((step + 1) * 10_000)).cast("timestamp_ntz").alias("timestamp"), F.lit(True).alias("anomaly"),
+        )
+        some.withColumn("anomaly_type", F.lit("new_ip")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/stat")
+        ml = some.where("seq % 2 = 0").withColumns(
+            {"user_id": F.lit(1).cast("long"), "score": F.lit(1.0), "threshold": F.lit(0.5), "event_count": F.lit(5).cast("long"), "unique_events": F.lit(2).cast("long")}
+        )
+        ml.coalesce(1).write.mode("append").parquet(f"{tmp_path}/ml")
+
+    def stream(name, schema):
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/{name}")
+
+    store = Store(spark, f"{tmp_path}/out")
+    stat = stream("stat", f"{base}, anomaly_type STRING")
+    ml = stream("ml", f"{base}, user_id LONG, score DOUBLE, threshold DOUBLE, event_count LONG, unique_events LONG")
+    query = jobs.store_stream(jobs.fuse(stat, ml, 300, ttl_ms=600_000), store, "fused", f"{tmp_path}/c")
+    assert query.awaitTermination(240)
+    assert store.read("fused").count() == 40
+    # two rows, state and end, for each of the ten sessions of the last step that still wait
+    assert query.lastProgress["stateOperators"][0]["numRowsTotal"] == 20
+
+
+def test_raw_and_scored_events_of_a_stream(spark, topic, tmp_path):
+    store = Store(spark, str(tmp_path / "out"))
+    jobs.store_stream(jobs.raw_events(topic.read(spark, EVENTS)), store, "raw", str(tmp_path / "c1")).awaitTermination()
+    jobs.store_stream(jobs.scored_events(topic.read(spark, EVENTS)), store, "scored", str(tmp_path / "c2")).awaitTermination()
+    records = spark.read.parquet(f"{topic.root}/{EVENTS}")
+    assert rows(store.read("raw").drop("batch_id")) == rows(jobs.raw_events(records))
+    assert rows(store.read("scored").drop("batch_id")) == rows(jobs.scored_events(records))
+
+
+def test_strict_lookups_equal_the_histogram(spark, arrived, tmp_path):
+    counts = {(None, "a", "b"): 2, ("x", "a", "b"): 3, ("x", "a", "c"): 5, ("y", "a", "b"): 7}
+    df = spark.createDataFrame([(*k, v) for k, v in counts.items()], "prev2 STRING, prev1 STRING, cur STRING, n LONG")
+    df.withColumn("part", F.pmod(F.crc32("prev1"), F.lit(8))).write.partitionBy("part").parquet(f"{tmp_path}/h")
+    stored = p.StoredTransitions(f"file://{tmp_path}/h", 8, most=1)
+    assert stored.of("x", "a", "b") == (17, 12, 8, 3)
+    assert stored.of("x", "q", "b") == (0, 0, 0, 0) == stored.of(None, None, "b")
+
+
 def test_quarantine_keeps_rejected_records(spark, topic, tmp_path):
     store = Store(spark, str(tmp_path / "out"))
     (

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import datetime
+from collections.abc import Callable, Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.operators.lookups import upsert_users_seen, within_retention
+from vigil.session import materialise
 
 # --- rows as they are stored ------------------------------------------------------------------------------------
 
@@ -106,8 +107,12 @@ class Store:
         dated = rows.withColumn("day", F.to_date(time_column))
         dated.hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(self.path(table))
 
-    def write_batch(self, rows: DataFrame, table: str, batch_id: int) -> None:
-        """Write one micro-batch as one partition. A repeated batch replaces itself."""
+    def write_batch(self, rows: DataFrame, table: str, batch_id: int, by: Sequence[str] = ()) -> None:
+        """Write one micro-batch as one partition. A repeated batch replaces itself.
+
+        ``by`` names key columns whose rows go into one file together.
+        """
+        rows = rows.repartition(*by) if by else rows
         (
             rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
             .write.mode("overwrite")
@@ -132,7 +137,11 @@ class Store:
         return self.spark.read.parquet(f"{self.path(table)}/batch_id={batch_id}")
 
     def stream(self, table: str, schema: str, files_per_batch: int = 1000) -> DataFrame:
-        """The table as a stream, oldest micro-batches first."""
+        """The table as a stream, oldest micro-batches first.
+
+        The files of one micro-batch may be read in several steps: order within a key holds if the batch was written with
+        ``by``, which keeps all its rows of a key in one file.
+        """
         return (
             self.spark.readStream.schema(schema)
             .option("maxFilesPerTrigger", files_per_batch)
@@ -147,21 +156,47 @@ class Store:
         return files.exists(path)
 
     def sink(self, table: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df):
-        """A ``foreachBatch`` function that stores each micro-batch once."""
+        """A ``foreachBatch`` function that stores each micro-batch once.
+
+        A batch that comes again after a failure runs again in full, since its keyed state has to be committed; what it
+        writes replaces what was there.
+        """
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            if not self.has_batch(table, batch_id):
-                self.write_batch(shape(batch), table, batch_id)
+            self.write_batch(shape(batch), table, batch_id)
 
         return write
 
-    def retain(self, source: str, target: str, as_of: datetime, days: int = 7) -> DataFrame:
-        """Write what is kept into ``target``; whole days are skipped by the partition filter."""
-        cutoff_day = F.to_date(F.lit(as_of).cast("timestamp_ntz") - F.expr(f"INTERVAL {int(days)} DAYS"))
-        recent = self.read(source).where(F.col("day") >= cutoff_day).withColumnRenamed("timestamp", "ts")
-        kept = within_retention(recent, as_of, days).withColumnRenamed("ts", "timestamp")
-        kept.write.mode("overwrite").partitionBy("day").parquet(self.path(target))
-        return self.read(target)
+    def retain(self, table: str, as_of: datetime, days: int = 7) -> DataFrame:
+        """Drop what is older than ``days`` at ``as_of``: whole days by their folders, and only the day of the cut-off is
+        written anew. The day's rows are stored aside first, so a run that is cut off can be repeated."""
+        cutoff_day = (as_of - timedelta(days=days)).date()
+        boundary = self.read(table).where(F.col("day") == F.lit(cutoff_day))
+        kept = within_retention(boundary.withColumnRenamed("timestamp", "ts"), as_of, days).withColumnRenamed("ts", "timestamp")
+        kept = materialise(kept)
+        if kept.isEmpty():
+            self._drop_day(table, str(cutoff_day))
+        else:
+            (
+                kept.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("day")
+                .parquet(self.path(table))
+            )
+        for day in self.days(table):
+            if day < str(cutoff_day):
+                self._drop_day(table, day)
+        return self.read(table)
+
+    def days(self, table: str) -> list[str]:
+        """The days a table has a folder of; at most one per day of its history."""
+        path, files = self._hadoop_path(self.path(table))
+        names = [s.getPath().getName() for s in files.listStatus(path)]
+        return sorted(n.removeprefix("day=") for n in names if n.startswith("day="))
+
+    def _drop_day(self, table: str, day: str) -> None:
+        path, files = self._hadoop_path(f"{self.path(table)}/day={day}")
+        files.delete(path, True)
 
     def save_users(self, profiles: DataFrame, table: str = "users") -> None:
         profiles.select("id", "username", "country", "ip", "user_agent").write.mode("append").parquet(

@@ -10,7 +10,8 @@ table that each micro-batch reads and extends; inside a micro-batch the table op
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,11 +24,25 @@ from vigil.operators.fusion import ML, STAT
 from vigil.operators.history import FIRST, SECOND, Tuning, global_transitions, transition_histogram
 from vigil.operators.model import THRESHOLD_MULTIPLIER, Autoencoder, ml_verdicts
 from vigil.operators.series import join_null_safe
-from vigil.sources.stores import Store
+from vigil.session import intermediate_folder
+from vigil.sources.stores import Store, raw_event_rows
 from vigil.streaming import processors as p
 
 DAY_MS = 86_400_000
-MOST_TRANSITIONS = 100_000
+PARTS = 256
+LATENESS = "10 minutes"
+ALL_THERE_IS = {"availableNow": True}
+
+
+def raw_events(records: DataFrame) -> DataFrame:
+    """Rows of the raw-event table from a record stream, ``additional`` included."""
+    flat = contracts.flatten_event(contracts.validate(records), "seq")
+    return raw_event_rows(flat.withColumn("event_id", F.col("seq")))
+
+
+def scored_events(records: DataFrame) -> DataFrame:
+    """What the session model sees of a record stream: session from the payload or else the correlation map."""
+    return contracts.ml_input(records, "seq").where("ts IS NOT NULL").withColumn("sec", unix_seconds("ts"))
 
 
 def valid_events(records: DataFrame) -> DataFrame:
@@ -51,11 +66,16 @@ def valid_events(records: DataFrame) -> DataFrame:
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _keyed(df: DataFrame, key: str | list[str], processor, schema: str, ttl_ms: int | None) -> DataFrame:
+def _keyed(
+    df: DataFrame, key: str | list[str], processor, schema: str, ttl_ms: int | None, lateness: str = LATENESS
+) -> DataFrame:
+    """Keyed state over ``df``. With ``ttl_ms`` silent keys go by event time; ``lateness`` is how far the watermark lags."""
     keys = [key] if isinstance(key, str) else key
+    if ttl_ms is not None:
+        df = df.withColumn("_at", F.timestamp_seconds("sec")).withWatermark("_at", lateness)
     # The only state store that holds several states of one processor.
     df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    mode = "None" if ttl_ms is None else "ProcessingTime"
+    mode = "None" if ttl_ms is None else "EventTime"
     return df.groupBy(*keys).transformWithStateInPandas(processor, schema, "append", mode)
 
 
@@ -66,17 +86,13 @@ def user_history(events: DataFrame, tuning: Tuning = Tuning(), ttl_ms: int | Non
 def strict_verdicts(
     events: DataFrame, stored_events: DataFrame, tuning: Tuning = Tuning(), ttl_ms: int | None = None
 ) -> DataFrame:
-    """Verdicts in strict mode.
-
-    The histogram of the stored events has one row per combination of three types. It travels with every task, so more
-    than ``MOST_TRANSITIONS`` rows are refused; the other streaming mode joins the histogram and has no such limit.
-    """
+    """Verdicts in strict mode. The histogram of the stored events is written once, in parts that tasks look up."""
     histogram = transition_histogram(stored_events, tuning).where("markov_order = 2")
-    rows = histogram.limit(MOST_TRANSITIONS + 1).collect()
-    if len(rows) > MOST_TRANSITIONS:
-        raise ValueError("too many event types for strict mode")
-    counts = {(r["prev2"], r["prev1"], r["cur"]): r["n"] for r in rows}
-    return _keyed(events, "user_id", p.StrictHistory(tuning, counts, ttl_ms), p.STRICT_SCHEMA, ttl_ms)
+    folder = f"{intermediate_folder(events.sparkSession)}/transitions-{uuid.uuid4().hex}"
+    part = F.pmod(F.crc32("prev1"), F.lit(PARTS))
+    histogram.withColumn("part", part).repartition("part").write.partitionBy("part").parquet(folder)
+    processor = p.StrictHistory(tuning, p.StoredTransitions(folder, PARTS), ttl_ms)
+    return _keyed(events, "user_id", processor, p.STRICT_SCHEMA, ttl_ms)
 
 
 # --- transitions of all users -----------------------------------------------------------------------------------
@@ -109,32 +125,35 @@ def extend_transitions(history: DataFrame, before: DataFrame | None) -> tuple[Da
 def first_stage_sink(store: Store, tuning: Tuning = Tuning()) -> Callable[[DataFrame, int], None]:
     """Stores the history of a micro-batch, then its first-stage verdicts and the extended histogram.
 
-    A batch that is repeated after a failure finds what it already wrote and goes on behind it. The keyed state of
-    the batch runs once: everything after it reads the stored history.
+    A batch that is repeated after a failure runs again in full: its keyed state has to be committed, and all it writes
+    replaces itself. The state runs once per attempt: everything after it reads the stored history. The rows of a user and
+    type lie in one file, so their order survives a reader that takes the files of a batch in several steps.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not store.has_batch("history", batch_id):
-            store.write_batch(batch, "history", batch_id)
+        store.write_batch(batch, "history", batch_id)
         history = store.batch("history", batch_id)
         before = store.batch("transitions", batch_id - 1) if batch_id else None
         counted, after = extend_transitions(history, before)
-        if not store.has_batch("transitions", batch_id):
-            store.write_batch(after, "transitions", batch_id)
-        if not store.has_batch("stage1", batch_id):
-            store.write_batch(detect.stage1(counted, tuning), "stage1", batch_id)
+        store.write_batch(after, "transitions", batch_id)
+        store.write_batch(detect.stage1(counted, tuning), "stage1", batch_id, ("user_id", "event_type"))
 
     return write
 
 
 def start_first_stage(
-    events: DataFrame, store: Store, checkpoint: str, tuning: Tuning = Tuning(), ttl_ms: int | None = None
+    events: DataFrame,
+    store: Store,
+    checkpoint: str,
+    tuning: Tuning = Tuning(),
+    ttl_ms: int | None = None,
+    trigger: Mapping = ALL_THERE_IS,
 ) -> StreamingQuery:
     return (
         user_history(events, tuning, ttl_ms)
         .writeStream.foreachBatch(first_stage_sink(store, tuning))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -203,12 +222,13 @@ def store_stream(
     table: str,
     checkpoint: str,
     shape: Callable[[DataFrame], DataFrame] = lambda df: df,
+    trigger: Mapping = ALL_THERE_IS,
 ) -> StreamingQuery:
     """Append a stream to a table, each micro-batch exactly once."""
     return (
         rows.writeStream.foreachBatch(store.sink(table, shape))
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start()
     )
 
@@ -218,10 +238,8 @@ def quarantine_sink(store: Store, valid: str = "accepted", broken: str = "quaran
 
     def write(batch: DataFrame, batch_id: int) -> None:
         validated = contracts.validate(batch)
-        if not store.has_batch(valid, batch_id):
-            store.write_batch(contracts.flatten_event(validated, "seq"), valid, batch_id)
-        if not store.has_batch(broken, batch_id):
-            rejected = contracts.quarantined(validated).select("seq", "value", "reject_reason")
-            store.write_batch(rejected, broken, batch_id)
+        store.write_batch(contracts.flatten_event(validated, "seq"), valid, batch_id)
+        rejected = contracts.quarantined(validated).select("seq", "value", "reject_reason")
+        store.write_batch(rejected, broken, batch_id)
 
     return write

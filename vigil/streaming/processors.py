@@ -3,16 +3,20 @@
 Each processor reads its state once per key and micro-batch, walks the new rows of the key in ``(sec, seq)`` order and
 writes the state back. The columns it gives out are those of the table operators, so everything after it is shared.
 
-Expiry follows event time, so a replay gives the same rows. ``ttl_ms`` additionally lets the state store forget keys
-that fall silent; it needs ``timeMode='ProcessingTime'``.
+Expiry follows event time, so a replay gives the same rows. With ``ttl_ms`` the state of a key that falls silent is dropped
+by an event-time timer, once the watermark has passed its last event by that much; events behind the watermark are late
+and are left out by Spark then. Without it, state stays and late events are taken in the order they arrive.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from math import sqrt
+from zlib import crc32
 
 import pandas as pd
+from pyarrow.dataset import dataset
+from pyarrow.fs import FileSystem, FileType
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from vigil.operators.features import GROUP
@@ -38,8 +42,46 @@ FUSED_SCHEMA = (
 )
 
 
+class Silent(StatefulProcessor):
+    """State that goes when its key has had no event for ``ttl_ms``. Subclasses name their states in ``self.all``."""
+
+    ttl_ms: int | None = None
+
+    def remember(self, handle: StatefulProcessorHandle, *states) -> None:
+        self.handle, self.all = handle, states
+        self.until = handle.getValueState("until", "ms LONG", None) if self.ttl_ms is not None else None
+
+    def heard(self, sec: int) -> None:
+        """Put the end of the key's state off."""
+        if self.until is None:
+            return
+        end = int(sec) * 1000 + self.ttl_ms
+        if not self.until.exists() or self.until.get()[0] < end:
+            if self.until.exists():
+                self.handle.deleteTimer(self.until.get()[0])
+            self.handle.registerTimer(end)
+            self.until.update((end,))
+
+    def forget(self) -> None:
+        if self.until is not None and self.until.exists():
+            self.handle.deleteTimer(self.until.get()[0])
+            self.until.clear()
+        for state in self.all:
+            state.clear()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.until.clear()
+        for state in self.all:
+            state.clear()
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
 def in_order(rows: Iterator[pd.DataFrame], *order: str) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values(list(order), kind="stable", ignore_index=True)
+    frame = pd.concat(list(rows), ignore_index=True).drop(columns="_at", errors="ignore")
+    return frame.sort_values(list(order), kind="stable", ignore_index=True)
 
 
 def hour_spread(hours: dict[int, int]) -> float:
@@ -47,7 +89,32 @@ def hour_spread(hours: dict[int, int]) -> float:
     return sqrt(max(0.0, sum(n * n for n in hours.values()) / 24.0 - mean * mean))
 
 
-class UserHistory(StatefulProcessor):
+class Levels:
+    """Transition counts with the totals of every level at hand."""
+
+    def __init__(self, counts=()):
+        self.triples: dict[tuple, int] = {}
+        self.sums: dict[tuple, int] = {}
+        for step, n in counts:
+            self.add(step, n)
+
+    def add(self, step: tuple, n: int) -> None:
+        before_2, before_1, current = step
+        self.triples[step] = self.triples.get(step, 0) + n
+        for level in ((before_1,), (before_1, current), (before_2, before_1, None, "all")):
+            self.sums[level] = self.sums.get(level, 0) + n
+
+    def of(self, before_2, before_1, current) -> tuple[int, int, int, int]:
+        """First-order total and count, second-order total and count."""
+        return (
+            self.sums.get((before_1,), 0),
+            self.sums.get((before_1, current), 0),
+            self.sums.get((before_2, before_1, None, "all"), 0),
+            self.triples.get((before_2, before_1, current), 0),
+        )
+
+
+class UserHistory(Silent):
     """What was known about a user before each event; the stream form of ``user_history``."""
 
     def __init__(self, tuning: Tuning = Tuning(), ttl_ms: int | None = None):
@@ -55,19 +122,19 @@ class UserHistory(StatefulProcessor):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        ttl = self.ttl_ms
-        self.last = handle.getValueState("last", "sec_1 LONG, type_1 STRING, sec_2 LONG, type_2 STRING", ttl)
-        self.values = handle.getMapState("values", "field STRING, value STRING", "n LONG", ttl)
-        self.hours = handle.getMapState("hours", "hour INT", "n LONG", ttl)
-        self.recent = handle.getMapState("recent", "type STRING", "secs ARRAY<LONG>", ttl)
+        self.last = handle.getValueState("last", "sec_1 LONG, type_1 STRING, sec_2 LONG, type_2 STRING", None)
+        self.values = handle.getMapState("values", "field STRING, value STRING", "n LONG", None)
+        self.hours = handle.getMapState("hours", "hour INT", "n LONG", None)
+        self.recent = handle.getMapState("recent", "type STRING", "secs ARRAY<LONG>", None)
         self.steps = handle.getMapState("transitions", "prev2 STRING, prev1 STRING, cur STRING", "n LONG", None)
+        self.remember(handle, self.last, self.values, self.hours, self.recent, self.steps)
 
     def _load(self) -> None:
         self._last = tuple(self.last.get()) if self.last.exists() else (None, None, None, None)
         self._values = {tuple(k): v[0] for k, v in self.values.iterator()}
         self._hours = {k[0]: v[0] for k, v in self.hours.iterator()}
         self._recent = {k[0]: list(v[0]) for k, v in self.recent.iterator()}
-        self._steps = {tuple(k): v[0] for k, v in self.steps.iterator()}
+        self._steps = Levels((tuple(k), v[0]) for k, v in self.steps.iterator())
         self._expired = False
         self._changed: dict[str, set] = {"values": set(), "hours": set(), "recent": set(), "steps": set()}
 
@@ -83,7 +150,7 @@ class UserHistory(StatefulProcessor):
         for k in self._changed["recent"]:
             self.recent.updateValue((k,), (self._recent[k],))
         for k in self._changed["steps"]:
-            self.steps.updateValue(k, (self._steps[k],))
+            self.steps.updateValue(k, (self._steps.triples[k],))
 
     def _known(self, sec: int) -> None:
         """Value sets and hours go together after ``set_ttl`` without an event."""
@@ -101,14 +168,7 @@ class UserHistory(StatefulProcessor):
         visible_1 = sec_1 is not None and row.sec - sec_1 < ttl
         visible_2 = visible_1 and sec_2 is not None and sec_1 - sec_2 < ttl
         recorded = sec_2 is not None and row.sec - sec_2 < ttl
-        total_1 = count_1 = total_2 = count_2 = 0
-        for (p2, p1, cur), n in self._steps.items():
-            if p1 == type_1:
-                total_1 += n
-                count_1 += n if cur == row.event_type else 0
-                if p2 == type_2:
-                    total_2 += n
-                    count_2 += n if cur == row.event_type else 0
+        total_1, count_1, total_2, count_2 = self._steps.of(type_2, type_1, row.event_type)
         oldest = row.sec - self._window(row.event_type)
         recent = [s for s in self._recent.get(row.event_type, []) if s >= oldest]
         self._recent[row.event_type] = recent
@@ -140,7 +200,7 @@ class UserHistory(StatefulProcessor):
         sec_1, type_1, _, type_2 = self._last
         if recorded:
             step = (type_2, type_1, row.event_type)
-            self._steps[step] = self._steps.get(step, 0) + 1
+            self._steps.add(step, 1)
             self._changed["steps"].add(step)
         self._last = (int(row.sec), row.event_type, sec_1, type_1)
 
@@ -153,13 +213,11 @@ class UserHistory(StatefulProcessor):
             seen.append(observed)
             self.store(row, bool(observed["recorded"]))
         self._save()
+        self.heard(frame["sec"].iloc[-1])
         yield pd.concat([frame, pd.DataFrame(seen)], axis=1)
 
-    def close(self) -> None:
-        pass
 
-
-class Averages(StatefulProcessor):
+class Averages(Silent):
     """Moving averages per user and type. Only clean events advance them; others pass with null averages."""
 
     def __init__(self, tuning: Tuning = Tuning(), ttl_ms: int | None = None):
@@ -167,7 +225,8 @@ class Averages(StatefulProcessor):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("averages", "ema DOUBLE, sigma DOUBLE, sec LONG", self.ttl_ms)
+        self.state = handle.getValueState("averages", "ema DOUBLE, sigma DOUBLE, sec LONG", None)
+        self.remember(handle, self.state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         state = tuple(self.state.get()) if self.state.exists() else None
@@ -181,12 +240,10 @@ class Averages(StatefulProcessor):
             results.append((state[0], deviation, state[1]))
         if state is not None:
             self.state.update(state)
+            self.heard(state[2])
         averages = pd.DataFrame(results, columns=["ema", "deviation", "sigma"], dtype="float64")
         yield pd.concat([frame, averages], axis=1)
 
-    def close(self) -> None:
-        pass
-
 
 def advance(state, value: float, sec: int, tuning: Tuning):
     """Next ``(ema, sigma, sec)`` and the deviation of ``value``."""
@@ -197,7 +254,7 @@ def advance(state, value: float, sec: int, tuning: Tuning):
     return (ema, tuning.alpha * deviation + (1 - tuning.alpha) * state[1], sec), deviation
 
 
-class SessionBatches(StatefulProcessor):
+class SessionBatches(Silent):
     """Features of every ``size`` events of a session; what is left over waits for more."""
 
     FIELDS = "user_id LONG, event_type STRING, ip STRING, country STRING, user_agent STRING, hour INT, sec LONG, seq LONG, ts TIMESTAMP_NTZ"
@@ -207,8 +264,9 @@ class SessionBatches(StatefulProcessor):
         self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.buffer = handle.getListState("buffer", self.FIELDS, self.ttl_ms)
-        self.batches = handle.getValueState("batches", "n LONG", self.ttl_ms)
+        self.buffer = handle.getListState("buffer", self.FIELDS, None)
+        self.batches = handle.getValueState("batches", "n LONG", None)
+        self.remember(handle, self.buffer, self.batches)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         names = [f.split()[0] for f in self.FIELDS.split(", ")]
@@ -238,6 +296,7 @@ class SessionBatches(StatefulProcessor):
             )
             n += 1
         self.batches.update((n,))
+        self.heard(fresh["sec"].iloc[-1])
         if waiting:
             self.buffer.put(waiting)
         else:
@@ -245,11 +304,8 @@ class SessionBatches(StatefulProcessor):
         if done:
             yield pd.DataFrame(done)
 
-    def close(self) -> None:
-        pass
-
 
-class Fusion(StatefulProcessor):
+class Fusion(Silent):
     """One row as soon as a session has both kinds of verdicts, then an empty session again.
 
     The statistical side is kept as its summary: whether any was anomalous, and the types.
@@ -264,8 +320,9 @@ class Fusion(StatefulProcessor):
             "pending",
             "sec LONG, has_ml BOOLEAN, user_id LONG, ml_anomaly BOOLEAN, score DOUBLE, threshold DOUBLE, "
             "event_count LONG, unique_events LONG, has_stat BOOLEAN, stat_anomaly BOOLEAN, types ARRAY<STRING>",
-            self.ttl_ms,
+            None,
         )
+        self.remember(handle, self.state)
 
     EMPTY = (False, None, None, None, None, None, None, False, False, [])
 
@@ -311,29 +368,62 @@ class Fusion(StatefulProcessor):
                     }
                 )
                 pending = self.EMPTY
-        self.state.update((last, *pending))
+        if pending == self.EMPTY:
+            self.forget()  # nothing waits: a later verdict finds an empty session either way
+        else:
+            self.state.update((last, *pending))
+            self.heard(last)
         if done:
             yield pd.DataFrame(done)
 
-    def close(self) -> None:
-        pass
+
+class StoredTransitions:
+    """Transition counts of all users in a folder of ``parts`` by the hash of the last type.
+
+    A task reads the parts its events ask for and keeps the last ``most`` of them, so the histogram may have any size.
+    """
+
+    def __init__(self, folder: str, parts: int, most: int = 64):
+        self.folder, self.parts, self.most = folder, parts, most
+        self.read: dict[int, Levels] = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"read": {}}
+
+    def of(self, before_2, before_1, current) -> tuple[int, int, int, int]:
+        if before_1 is None:
+            return 0, 0, 0, 0
+        part = crc32(before_1.encode()) % self.parts
+        if part not in self.read:
+            if len(self.read) >= self.most:
+                self.read.pop(next(iter(self.read)))
+            self.read[part] = self._levels(part)
+        return self.read[part].of(before_2, before_1, current)
+
+    def _levels(self, part: int) -> Levels:
+        files, root = FileSystem.from_uri(self.folder)
+        path = f"{root}/part={part}"
+        if files.get_file_info(path).type == FileType.NotFound:
+            return Levels()
+        rows = dataset(path, filesystem=files, format="parquet").to_table().to_pylist()
+        return Levels(((r["prev2"], r["prev1"], r["cur"]), r["n"]) for r in rows)
 
 
 class StrictHistory(UserHistory):
     """The whole cascade in one pass, in which an event at an hour the user never had is not stored at all.
 
     That feeds back into every later check, so it only exists as keyed state. Transitions of all users cannot be read
-    from the state of one: ``global_counts`` is their histogram ``{(prev2, prev1, cur): n}`` from the stored events, a
-    table with one row per combination of event types, fixed when the stream starts.
+    from the state of one: ``everyone`` looks them up in the stored histogram, which is fixed when the stream starts.
     """
 
-    def __init__(self, tuning: Tuning, global_counts: dict[tuple, int], ttl_ms: int | None = None):
+    def __init__(self, tuning: Tuning, everyone: StoredTransitions, ttl_ms: int | None = None):
         super().__init__(tuning, ttl_ms)
-        self.global_counts = global_counts
+        self.everyone = everyone
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.averages = handle.getMapState("averages", "type STRING", "ema DOUBLE, sigma DOUBLE, sec LONG", self.ttl_ms)
+        self.averages = handle.getMapState("averages", "type STRING", "ema DOUBLE, sigma DOUBLE, sec LONG", None)
+        self.all = (*self.all, self.averages)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         self._load()
@@ -343,7 +433,7 @@ class StrictHistory(UserHistory):
         for row in frame.itertuples(index=False):
             seen = self.observe(row)
             kind = self._first_stage(row, seen)
-            status = "ok"
+            status, state = "ok", None
             if kind is None:
                 state, deviation = advance(
                     averages.get(row.event_type), float(seen["type_count"]), int(row.sec), self.tuning
@@ -359,8 +449,9 @@ class StrictHistory(UserHistory):
                     kind = "time_deviation"
             if status == "ok":
                 self.store(row, bool(seen["recorded"]))
-            results.append({"anomaly": kind is not None, "anomaly_type": kind or "", "status": status})
+            results.append({"anomaly": kind is not None, "anomaly_type": kind or "", "message": self._message(kind, row, seen, state), "status": status})
         self._save()
+        self.heard(frame["sec"].iloc[-1])
         for event_type, state in averages.items():
             self.averages.updateValue((event_type,), state)
         columns = ["event_id", "seq", "ts", "user_id", "session_id", "event_type"]
@@ -371,20 +462,12 @@ class StrictHistory(UserHistory):
             if seen[f"seen_{field}"] == 0:
                 return name
         type_1, type_2 = seen["event_type_1"], seen["event_type_2"]
-        everyone = {"total_1": 0, "count_1": 0, "total_2": 0, "count_2": 0}
-        for (p2, p1, cur), n in self.global_counts.items():
-            if p1 == type_1:
-                hit = n if cur == row.event_type else 0
-                everyone["total_1"] += n
-                everyone["count_1"] += hit
-                if p2 == type_2:
-                    everyone["total_2"] += n
-                    everyone["count_2"] += hit
+        total_1, count_1, total_2, count_2 = self.everyone.of(type_2, type_1, row.event_type)
         levels = [
             (seen["visible_2"], seen["user_total_2"], seen["user_count_2"], self.tuning.min_total_user),
             (seen["visible_1"], seen["user_total_1"], seen["user_count_1"], self.tuning.min_total_user),
-            (seen["visible_2"], everyone["total_2"], everyone["count_2"], self.tuning.min_total_global),
-            (seen["visible_1"], everyone["total_1"], everyone["count_1"], self.tuning.min_total_global),
+            (seen["visible_2"], total_2, count_2, self.tuning.min_total_global),
+            (seen["visible_1"], total_1, count_1, self.tuning.min_total_global),
         ]
         for visible, total, count, least in levels:
             if visible and total >= least:
@@ -392,8 +475,19 @@ class StrictHistory(UserHistory):
                 return "markov_low_probability" if count / total < limit else None
         return None
 
+    def _message(self, kind: str | None, row, seen: dict, state: tuple | None) -> str:
+        if kind is None:
+            return ""
+        if kind == "ema_outlier":
+            return f"Event frequency for {row.event_type} is {seen['type_count']}, average {state[0]:.2f}, spread {state[1]:.2f}"
+        if kind == "time_deviation":
+            return f"Activity at hour {row.hour}: {seen['hour_count']} events there, spread of hours {seen['hour_stddev']:.2f}"
+        if kind == "markov_low_probability":
+            return f"Unusual transition {seen['event_type_1']}->{row.event_type}"
+        return f"{kind.removeprefix('new_').replace('_', ' ')} never seen before"
+
 
 STRICT_SCHEMA = (
     "event_id LONG, seq LONG, ts TIMESTAMP_NTZ, user_id LONG, session_id STRING, event_type STRING, "
-    "anomaly BOOLEAN, anomaly_type STRING, status STRING"
+    "anomaly BOOLEAN, anomaly_type STRING, message STRING, status STRING"
 )
