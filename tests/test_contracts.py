@@ -151,3 +151,21 @@ def test_copies_collapse_to_the_first(spark):
     data = [(1, "a", 5), (1, "a", 3), (2, "a", 4), (None, None, 1), (None, None, 2)]
     df = spark.createDataFrame(data, "user_id LONG, ip STRING, seq LONG")
     assert rows(c.dedupe_events(df)) == rows(spark.createDataFrame([(1, "a", 3), (2, "a", 4), (None, None, 1)], df.schema))
+
+
+@pytest.mark.parametrize("stamp", ["notaTime", "2024-01-02", "2024-01-02T25:00:00Z", "2024-01-02T03:04:05", "", "T", "2024-01-02Txx:00:00Z"])
+def test_bad_times_never_stop_a_job(spark, stamp):
+    text = f'{{"spec_version":"1.0","domain":"user_activity","event_type":"login","payload":{{"user_id":1,"type":"login","timestamp":"{stamp}","session_id":"s"}}}}'
+    records = spark.createDataFrame([(text,)], "value STRING")
+    assert c.validate(records).first()["reject_reason"] == "timestamp"
+    assert c.ml_input(records).first()["ts"] is None
+
+
+def test_bad_additional_never_stops_a_job(spark):
+    rows = [(1, "login", "{broken", "s"), (2, "login", '{"a": 1}', "s"), (3, "login", None, "s")]
+    events = spark.createDataFrame(rows, "user_id LONG, event_type STRING, additional STRING, session_id STRING").withColumns(
+        {"ts": F.lit("2024-01-02").cast("timestamp_ntz"), "ip": F.lit("i"), "user_agent": F.lit("u"), "country": F.lit("c")}
+    )
+    sent = c.build_envelope(events, "test", "user_id").orderBy("user_id").collect()
+    assert [json.loads(r["value"])["payload"]["additional"] for r in sent] == [{}, {"a": 1}, {}]
+    assert [(r["user_id"], r["reject_reason"]) for r in c.unreadable_additional(events).collect()] == [(1, "additional")]

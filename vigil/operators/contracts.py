@@ -12,8 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.columns import empty_as_null, first_rule
+from vigil.functions.columns import empty_as_null, first_rule, has_offset
 from vigil.schemas import ENVELOPE, ML_RESULT, PAYLOAD, STAT_RESULT
+from vigil.session import materialise
 
 USER_ACTIVITY = "user_activity"
 SPEC_VERSION = "1.0"
@@ -78,13 +79,14 @@ def parse_payload(validated: DataFrame, domain: str = USER_ACTIVITY) -> DataFram
 
 
 def event_time(text: Column) -> Column:
-    """Moment of an RFC 3339 text as zone-less UTC; null when the text is no timestamp."""
-    return F.to_utc_timestamp(F.try_to_timestamp(text), F.current_timezone()).cast("timestamp_ntz")
+    """Moment of an RFC 3339 text as zone-less UTC; null when the text is no timestamp or names no offset."""
+    moment = F.try_to_timestamp(F.when(has_offset(text), text))
+    return F.to_utc_timestamp(moment, F.current_timezone()).cast("timestamp_ntz")
 
 
 def local_hour(text: Column) -> Column:
-    """Hour of day in the offset the producer wrote, which is the hour as it stands in the text."""
-    return F.try_element_at(F.split(text, "[T ]"), F.lit(2)).substr(1, 2).cast("int")
+    """Hour of day in the offset the producer wrote, as it stands in the text; null when there is none."""
+    return F.try_element_at(F.split(text, "[T ]"), F.lit(2)).substr(1, 2).try_cast("int")
 
 
 def validate_payload(parsed: DataFrame) -> DataFrame:
@@ -183,12 +185,19 @@ def route_domains(
     for name, handled_as in (aliases or {}).items():
         domain = F.when(F.col("envelope.domain") == name, F.lit(handled_as)).otherwise(F.col("envelope.domain"))
         validated = validated.withColumn("envelope", F.col("envelope").withField("domain", domain))
-    results = [route(filter_domain(validated, domain)) for domain, route in routes.items()]
+    # One parse for all routes: the rows of known domains are stored once, each route reads its own.
+    known = validated.where(F.col("reject_reason").isNull() & F.col("envelope.domain").isin(*routes))
+    if len(routes) > 1 and not known.isStreaming:
+        known = materialise(known)
+    results = [route(known.where(domain_is(domain))) for domain, route in routes.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), results)
 
 
 def build_envelope(events: DataFrame, source: str, *keep: str) -> DataFrame:
-    """Envelope JSON in ``value`` from flat events; the session goes into the correlation map when there is one."""
+    """Envelope JSON in ``value`` from flat events; the session goes into the correlation map when there is one.
+
+    An ``additional`` that is no JSON becomes ``{}``; ``unreadable_additional`` gives those events.
+    """
     stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
     session = F.coalesce("session_id", F.lit(""))
     payload = F.struct(
@@ -197,7 +206,7 @@ def build_envelope(events: DataFrame, source: str, *keep: str) -> DataFrame:
         stamp.alias("timestamp"),
         session.alias("session_id"),
         F.struct("ip", "user_agent", "country").alias("metadata"),
-        F.parse_json("additional").alias("additional"),
+        F.coalesce(F.try_parse_json("additional"), F.parse_json(F.lit("{}"))).alias("additional"),
     )
     envelope = F.struct(
         F.lit(SPEC_VERSION).alias("spec_version"),
@@ -211,6 +220,12 @@ def build_envelope(events: DataFrame, source: str, *keep: str) -> DataFrame:
     return events.select(*keep, F.to_json(envelope).alias("value"))
 
 
+def unreadable_additional(events: DataFrame) -> DataFrame:
+    """Events whose ``additional`` is no JSON, with the reason; their envelopes go out without it."""
+    broken = F.col("additional").isNotNull() & F.try_parse_json("additional").isNull()
+    return events.where(broken).withColumn("reject_reason", F.lit("additional"))
+
+
 def keyed(records: DataFrame) -> DataFrame:
     """``key`` is the user id as text, ``value`` the unchanged record; rows without a usable key are left out."""
     return accepted(validate(records)).select(F.col("payload.user_id").cast("string").alias("key"), "value")

@@ -22,6 +22,11 @@ def in_range(column: str, start: datetime, end: datetime) -> Column:
     return F.col(column).between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
 
 
+def in_days(rows: DataFrame, start: datetime, end: datetime) -> Column:
+    """Days of a range, so that a table in folders by ``day`` is read from those only."""
+    return F.col("day").between(F.lit(start.date()), F.lit(end.date())) if "day" in rows.columns else F.lit(True)
+
+
 def total(rows: DataFrame, name: str, condition: Column | None = None) -> DataFrame:
     rows = rows if condition is None else rows.where(condition)
     return rows.agg(F.count(F.lit(1)).alias(name))
@@ -36,7 +41,7 @@ def per_minute(
 ) -> DataFrame:
     """Rows per minute, after an optional condition and time range."""
     if between is not None:
-        rows = rows.where(in_range(column, *between))
+        rows = rows.where(in_range(column, *between) & in_days(rows, *between))
     if condition is not None:
         rows = rows.where(condition)
     return rows.groupBy(minute(column).alias("time")).agg(F.count(F.lit(1)).alias(name))
@@ -47,7 +52,7 @@ def counts_per_minute(
 ) -> DataFrame:
     """Several filtered counts per minute in one pass; minutes where a filter finds nothing show 0."""
     if between is not None:
-        rows = rows.where(in_range(column, *between))
+        rows = rows.where(in_range(column, *between) & in_days(rows, *between))
     return rows.groupBy(minute(column).alias("time")).agg(
         *[F.count_if(condition).alias(name) for name, condition in counts.items()]
     )

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,10 +14,9 @@ def latest_of_session(results: DataFrame, session_id: str, order: tuple[str, ...
 
 
 def latest_per_session(results: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """The newest row of every session: one map-side-combined aggregation, no sort and no window."""
-    rest = [c for c in results.columns if c != "session_id"]
-    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return results.groupBy("session_id").agg(newest).select("session_id", "_row.*")
+    """The newest row of every session: a ranking whose first row is taken per task before the shuffle."""
+    newest = Window.partitionBy("session_id").orderBy(*[F.desc(c) for c in order])
+    return results.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 
 def event_by_id(events: DataFrame, event_id: int) -> DataFrame:
@@ -37,9 +36,11 @@ def latest_events(events: DataFrame, n: int) -> DataFrame:
 
 
 def events_between(events: DataFrame, user_id: int, start: datetime, end: datetime) -> DataFrame:
-    """Events of a user between two moments, both included, at second precision."""
-    second = F.date_trunc("second", F.col("ts")).cast("timestamp_ntz")
-    return events.where((F.col("user_id") == user_id) & second.between(F.lit(start), F.lit(end)))
+    """Events of a user between two moments, both included, at second precision. All bounds reach the scan."""
+    first = start if start.microsecond == 0 else start.replace(microsecond=0) + timedelta(seconds=1)
+    behind = end.replace(microsecond=0) + timedelta(seconds=1)
+    low, high = (F.lit(t).cast("timestamp_ntz") for t in (first, behind))
+    return events.where((F.col("user_id") == user_id) & (F.col("ts") >= low) & (F.col("ts") < high))
 
 
 def users_seen(events: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ class Broker:
     group: str = "vigil"
     starting_offsets: str = "latest"
     options: dict[str, str] = field(default_factory=dict)
+    partitions: int = 4096
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
         """Records with ``seq``, which follows the offsets of a partition and is unique over all of them.
@@ -39,7 +40,10 @@ class Broker:
             .options(**self.options)
             .load()
         )
-        seq = F.shiftleft("offset", 12) + F.col("partition")
+        fits = F.col("partition") < self.partitions
+        seq = F.when(fits, F.col("offset") * self.partitions + F.col("partition")).otherwise(
+            F.raise_error(F.lit("more partitions than the source was told")).cast("long")
+        )
         return rows.select(F.col("key").cast("string"), F.col("value").cast("string"), seq.alias("seq"))
 
     def write(self, records: DataFrame, topic: str) -> DataStreamWriter:
