@@ -14,9 +14,11 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from vigil.operators.training import fit  # noqa: E402
 from vigil.plans.queries import QUERIES  # noqa: E402
 from vigil.plans.results import build_results, results  # noqa: E402
 from vigil.session import ROWS_PER_BLOCK, local_session  # noqa: E402
+from vigil.sources.canon import load_canonical  # noqa: E402
 
 HEADLINE = (
     "stat_verdicts",
@@ -68,6 +70,7 @@ def main() -> None:
         runs = [timed(lambda: QUERIES[name](spark, folder)) for _ in range(RUNS + 1)]
         seconds[name] = statistics.median(runs[1:])
     events = spark.read.parquet(f"{folder}/events.parquet").count()
+    metrics = fit(load_canonical(spark, folder)).metrics
     print(
         json.dumps(
             {
@@ -77,6 +80,7 @@ def main() -> None:
                 "queries": {k: round(v, 3) for k, v in seconds.items()},
                 "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
                 "events": events,
+                "held_out_loss": round(metrics["test_loss"], 7),
                 "stat_verdicts_events_per_sec": round(events / seconds["stat_verdicts"]),
             }
         )

@@ -169,3 +169,20 @@ def test_bad_additional_never_stops_a_job(spark):
     sent = c.build_envelope(events, "test", "user_id").orderBy("user_id").collect()
     assert [json.loads(r["value"])["payload"]["additional"] for r in sent] == [{}, {"a": 1}, {}]
     assert [(r["user_id"], r["reject_reason"]) for r in c.unreadable_additional(events).collect()] == [(1, "additional")]
+
+
+@pytest.mark.parametrize(
+    ("change", "reason"),
+    [
+        ({"spec_version": 1}, "malformed"),
+        ({"event_type": {"a": 1}}, "malformed"),
+        ({"domain": ["user_activity"]}, "malformed"),
+        ({"source": None}, None),
+        ({"payload": {"user_id": 1, "type": 5, "timestamp": "2024-01-02T03:04:05Z"}}, "payload_malformed"),
+        ({"payload": {"user_id": 1, "type": "login", "timestamp": "2024-01-02T03:04:05Z", "session_id": {"x": 1}}}, "payload_malformed"),
+        ({"payload": {"user_id": 1, "type": "login", "timestamp": "2024-01-02T03:04:05Z", "additional": {"type": 5}}}, None),
+    ],
+)
+def test_other_kinds_of_values_are_rejected(spark, change, reason):
+    records = spark.createDataFrame([(json.dumps(GOOD | change),)], "value STRING")
+    assert c.validate(records).first()["reject_reason"] == reason

@@ -204,6 +204,17 @@ def test_raw_and_scored_events_of_a_stream(spark, topic, tmp_path):
     assert rows(store.read("scored").drop("batch_id")) == rows(jobs.scored_events(records))
 
 
+def test_copies_of_events_collapse(spark, topic, arrived, tmp_path):
+    twice = spark.read.parquet(f"{topic.root}/{EVENTS}")
+    twice = twice.unionByName(twice.withColumn("seq", F.col("seq") + 100_000))
+    twice.coalesce(1).write.parquet(f"{tmp_path}/t/{EVENTS}")
+    events = jobs.distinct_events(jobs.valid_events(Folder(f"{tmp_path}/t").read(spark, EVENTS)))
+    store = Store(spark, str(tmp_path / "out"))
+    jobs.store_stream(events, store, "e", str(tmp_path / "c")).awaitTermination()
+    content = [c for c in arrived.columns if c not in ("event_id", "seq")]
+    assert rows(store.read("e").select(*content)) == rows(arrived.select(*content).distinct())
+
+
 def test_strict_lookups_equal_the_histogram(spark, arrived, tmp_path):
     counts = {(None, "a", "b"): 2, ("x", "a", "b"): 3, ("x", "a", "c"): 5, ("y", "a", "b"): 7}
     df = spark.createDataFrame([(*k, v) for k, v in counts.items()], "prev2 STRING, prev1 STRING, cur STRING, n LONG")

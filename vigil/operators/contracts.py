@@ -19,6 +19,8 @@ from vigil.session import materialise
 USER_ACTIVITY = "user_activity"
 SPEC_VERSION = "1.0"
 MALFORMED = "_malformed"
+TEXTS = ("spec_version", "domain", "event_type", "source")
+PAYLOAD_TEXTS = ("type", "timestamp", "session_id")
 OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
 
 
@@ -36,10 +38,22 @@ def _parsed_once(df: DataFrame, name: str, struct: Column) -> DataFrame:
     return df.select(*kept, F.explode(F.array(struct)).alias(name))
 
 
+def wrong_types(text: Column, fields: tuple[str, ...]) -> Column:
+    """Whether a top-level field that has to be a text is another kind of value.
+
+    The parser takes numbers and objects for texts. Records in which such a field is followed by anything but a quote are
+    rare; only these are looked at again, with their types.
+    """
+    suspect = text.rlike(f'"({"|".join(fields)})"\\s*:\\s*[^"\\s]')
+    kinds = [F.schema_of_variant(F.try_variant_get(F.try_parse_json(text), f"$.{f}", "variant")) for f in fields]
+    wrong = reduce(lambda a, b: a | b, [F.coalesce(~k.isin("STRING", "VOID"), F.lit(False)) for k in kinds])
+    return F.coalesce(F.when(suspect, wrong), F.lit(False))
+
+
 def parse_envelope(records: DataFrame) -> DataFrame:
     """Adds ``envelope`` and ``malformed``. The payload stays text until the domain is known."""
     decoded = _parsed_once(records, "envelope", _decode(F.col("value"), ENVELOPE))
-    broken = F.col("envelope").isNull() | F.col(f"envelope.{MALFORMED}").isNotNull()
+    broken = F.col("envelope").isNull() | F.col(f"envelope.{MALFORMED}").isNotNull() | wrong_types(F.col("value"), TEXTS)
     return decoded.withColumn("malformed", broken)
 
 
@@ -93,7 +107,10 @@ def validate_payload(parsed: DataFrame) -> DataFrame:
     """Completes ``reject_reason``. Session and metadata may be missing; ``additional`` defaults to ``{}``."""
     payload = F.col("payload")
     reason = first_rule(
-        (payload.isNull() | payload[MALFORMED].isNotNull(), "payload_malformed"),
+        (
+            payload.isNull() | payload[MALFORMED].isNotNull() | wrong_types(F.col("envelope.payload"), PAYLOAD_TEXTS),
+            "payload_malformed",
+        ),
         (F.coalesce(payload["user_id"], F.lit(0)) == 0, "user_id"),
         (F.coalesce(payload["type"], F.lit("")) == "", "type"),
         (event_time(payload["timestamp"]).isNull(), "timestamp"),

@@ -63,6 +63,13 @@ def valid_events(records: DataFrame) -> DataFrame:
     )
 
 
+def distinct_events(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
+    """Exact copies of an event within ``lateness`` collapse to the first to arrive, as on tables."""
+    content = [c for c in events.columns if c not in ("event_id", "seq")]
+    timed = events.withColumn("_at", F.timestamp_seconds("sec")).withWatermark("_at", lateness)
+    return timed.dropDuplicatesWithinWatermark(content).drop("_at")
+
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
