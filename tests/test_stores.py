@@ -102,3 +102,22 @@ def test_joined_types_are_their_own_group(spark):
     data = [("a, b",), ("a",), ("a",), ("",), (None,)]
     got = d.anomalies_by_type(spark.createDataFrame(data, "anomaly_type STRING")).collect()
     assert [tuple(r) for r in got] == [("a", 2), ("a, b", 1)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranges_prune_days_and_reach_the_scan(spark, store, events):
+    store.append(raw(events), "raw_events", "timestamp")
+    stored = store.read("raw_events")
+    some = d.per_minute(stored, "timestamp", "n", between=(datetime(2024, 1, 8), datetime(2024, 1, 9)))
+    assert "PartitionFilters: [isnotnull(day" in plan_of(some)
+    table = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    between = plan_of(look.events_between(table, 7, datetime(2024, 1, 8), datetime(2024, 1, 9)))
+    assert "date_trunc" not in between and "DataFilters: [isnotnull(user_id" in between and "(ts#" in between.split("DataFilters")[1]
+
+
+def test_latest_takes_the_first_per_task(events):
+    plan = plan_of(look.latest_per_session(events, ("ts", "seq")))
+    assert "SortAggregate" not in plan and "WindowGroupLimit" in plan
