@@ -62,12 +62,10 @@ def upsert_users_seen(stored: DataFrame, events: DataFrame) -> DataFrame:
 
 def user_profiles(events: DataFrame) -> DataFrame:
     """The most recent identity of every user as a profile."""
-    newest = F.max_by(F.struct("country", "ip", "user_agent"), F.struct("sec", "seq")).alias("_identity")
-    return (
-        events.groupBy(F.col("user_id").alias("id"))
-        .agg(newest)
-        .select("id", F.concat(F.lit("user"), "id").alias("username"), "_identity.*")
-    )
+    newest = Window.partitionBy("user_id").orderBy(F.desc("sec"), F.desc("seq"))
+    last = events.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1")
+    name = F.concat(F.lit("user"), "user_id").alias("username")
+    return last.select(F.col("user_id").alias("id"), name, "country", "ip", "user_agent")
 
 
 def first_users(users: DataFrame, n: int) -> DataFrame:
