@@ -34,7 +34,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, the piece ids of each text and the text they decode to."""
-    return pieces.decode(pieces.encode(docs))
+    return pieces.encode_and_decode(docs)
 
 
 STAGES = [

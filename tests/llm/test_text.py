@@ -211,6 +211,9 @@ def test_seeds_vary_and_decode_losslessly(spark):
     joined = pieces.decode(one).alias("a").join(docs.alias("b"), "doc_id").select("a.text", "b.text").collect()
     assert all(r[0] == r[1] for r in joined)
     a, b = ({r["doc_id"]: r["pieces"] for r in x.collect()} for x in (one, two))
+    assert {r["doc_id"]: (r["pieces"], r["text"]) for r in pieces.encode_and_decode(docs, seed=1).collect()} == {
+        r["doc_id"]: (r["pieces"], r["text"]) for r in pieces.decode(one).collect()
+    }
     assert sum(a[i] != b[i] for i in a) > 90
     assert {r["doc_id"]: r["pieces"] for r in pieces.encode(docs.repartition(7), seed=1).collect()} == a
 

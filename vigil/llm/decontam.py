@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from vigil.llm.common import documents
+from vigil.llm.common import arrow_map, documents
 from vigil.llm.words import U, keyed, mixed, slices, window_hashes
 
 GRAM = 12
@@ -216,8 +217,6 @@ def contaminated(
     source = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
     kind, item_kind = source.schema["id"].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
     schema = f"id {kind}, item {item_kind}, begin bigint, end bigint, edits bigint"
-    from pyspark.sql.pandas.types import to_arrow_type
-
     item_type = to_arrow_type(items.schema[item_id].dataType)
     found = None
     for index in _blocks(items, item_id, item_text, q, percent):
@@ -234,7 +233,7 @@ def contaminated(
                         names=["id", "item", "begin", "end", "edits"],
                     )
 
-        part = source.mapInArrow(run, schema)
+        part = arrow_map(source, run, schema)
         found = part if found is None else found.unionByName(part)
     if found is None:
         found = df.sparkSession.createDataFrame([], schema)
@@ -259,7 +258,7 @@ def clean_rows(df: DataFrame, items: DataFrame, text: str = "text", item_id: str
                     yield whole.slice(begin, part.num_rows).filter(pa.array(keep))
                     begin += part.num_rows
 
-        out = out.mapInArrow(run, schema)
+        out = arrow_map(out, run, schema)
     return out.select("row.*")
 
 

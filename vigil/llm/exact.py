@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import documents, stored
+from vigil.llm.common import arrow_map, documents, stored
 from vigil.llm.words import byte_rows
 
 PRIMES = (2147483647, 2147483629, 2147483587)
@@ -88,7 +88,7 @@ def with_fingerprints(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
                 names=[*keep, *FIELDS.names],
             )
 
-    return source.mapInArrow(run, schema)
+    return arrow_map(source, run, schema)
 
 
 def combine_parts(parts: DataFrame, by: str, order: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import documents
+from vigil.llm.common import arrow_map, documents
 from vigil.llm.words import U, byte_rows, keyed, mixed, slices, word_hashes
 
 MOST_ROWS = 1200
@@ -296,7 +296,7 @@ def identify(df: DataFrame, model: Model, id: str = "doc_id", text: str = "text"
                 names = pa.array(langs).take(pa.array(best))
                 yield pa.RecordBatch.from_arrays([batch.column(0), names, pa.array(score)], names=["id", "lang_pred", "score"])
 
-    return source.mapInArrow(run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id)
+    return arrow_map(source, run, f"id {kind}, lang_pred string, score double").withColumnRenamed("id", id)
 
 
 def label_words(df: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -320,7 +320,7 @@ def label_words(df: DataFrame, model: Model, id: str = "doc_id", text: str = "te
                 kinds = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kinds)], names=["id", "spans"])
 
-    return source.mapInArrow(run, f"id {kind}, spans array<struct<begin:bigint,end:bigint,lang:string>>").withColumnRenamed("id", id)
+    return arrow_map(source, run, f"id {kind}, spans array<struct<begin:bigint,end:bigint,lang:string>>").withColumnRenamed("id", id)
 
 
 def accepted(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -341,7 +341,7 @@ def accepted(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str =
                 begin += part.num_rows
                 yield rows.filter(pa.array(keep))
 
-    out = kept.mapInArrow(run, schema)
+    out = arrow_map(kept, run, schema)
     return out.select("row.*")
 
 

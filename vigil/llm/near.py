@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import documents, stored
+from vigil.llm.common import arrow_map, documents, stored
 from vigil.llm.graph import components
 from vigil.llm.words import U, byte_rows, keyed, mixed, slices, window_hashes, word_bounds, word_hashes
 
@@ -120,7 +120,7 @@ def near_duplicates(
     """One row per input row: id, ``n_shingles``, ``component_id`` (least id reachable over links) and ``kept``."""
     bare = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
     kind = bare.schema["id"].dataType.simpleString()
-    signed = stored(bare.mapInArrow(lambda b: _signatures(b, size), f"id {kind}, {SIGNATURE}"))
+    signed = stored(arrow_map(bare, lambda b: _signatures(b, size), f"id {kind}, {SIGNATURE}"))
     key = ["n", "k0", "k1"]
     rest = [F.first(c).alias(c) for c in ("bands", "w0", "w1", "w2")]
     sets = stored(signed.filter("n > 0 AND id IS NOT NULL").groupBy(*key).agg(F.min("id").alias("rep"), *rest))
@@ -131,7 +131,7 @@ def near_duplicates(
     sketches = sets.select("rep", "n", "w0", "w1", "w2")
 
     needed = members.select(F.col("rep").alias("id")).distinct()
-    full = stored(bare.join(needed, "id", "left_semi").mapInArrow(lambda b: _full_sets(b, size), f"id {kind}, shingles array<long>, low array<int>"))
+    full = stored(arrow_map(bare.join(needed, "id", "left_semi"), lambda b: _full_sets(b, size), f"id {kind}, shingles array<long>, low array<int>"))
     stars = members.filter("rep <> lead").select(F.col("lead").alias("u"), F.col("rep").alias("v")).distinct()
     links = stored(_confirmed(stars, full, percent).distinct())
     roots = components(links)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import documents
+from vigil.llm.common import arrow_map, documents
 from vigil.llm.words import U, mixed, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -257,50 +257,70 @@ def text_of(ids: np.ndarray, ends: np.ndarray, model: Pieces) -> list[bytes]:
     return [raw[a + 1 : b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def _encoded(batches: Batches, model: str, dropout: float, seed: int) -> Batches:
+    known, drop = pieces(model), Dropout(dropout, seed)
+    for whole in batches:
+        for batch in slices(whole, 1, 1 << 20):
+            texts = batch.column(1)
+            ids, ends = segment(texts.to_pylist(), np.asarray(batch.column(2)).view(U), known, drop)
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids, pa.int32()), mask=texts.is_null()
+            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "pieces"])
+
+
+def _decoded(batches: Batches, model: str) -> Batches:
+    known = pieces(model)
+    for whole in batches:
+        for at in range(0, whole.num_rows, 256):
+            batch = whole.slice(at, 256)
+            lists = batch.column(1)
+            ids = np.asarray(lists.flatten())
+            ends = np.cumsum(np.asarray(lists.value_lengths().fill_null(0)), dtype=np.int64)
+            texts = [x.decode("utf-8", "surrogatepass") for x in text_of(ids, ends, known)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), lists, pa.array(texts, pa.string(), mask=np.asarray(lists.is_null()))], names=["id", "pieces", "text"]
+            )
+
+
+def _keyed(df: DataFrame, id: str, text: str) -> tuple[DataFrame, str]:
+    source = df.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(id)).alias("key"))
+    return source, source.schema["id"].dataType.simpleString()
+
+
 def encode(
     df: DataFrame, id: str = "doc_id", text: str = "text", model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED
 ) -> DataFrame:
     """One row per input row: id and ``pieces``, the ids of the text's pieces."""
-    source = df.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(F.col(id)).alias("key"))
-    kind = source.schema["id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, drop = pieces(model), Dropout(dropout, seed)
-        for whole in batches:
-            for batch in slices(whole, 1, 2 << 20):
-                texts = batch.column(1)
-                ids, ends = segment(texts.to_pylist(), np.asarray(batch.column(2)).view(U), known, drop)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids, pa.int32()), mask=texts.is_null()
-                )
-                yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "pieces"])
-
-    return source.mapInArrow(run, f"id {kind}, pieces array<int>").withColumnRenamed("id", id)
+    source, kind = _keyed(df, id, text)
+    found = arrow_map(source, lambda b: _encoded(b, model, dropout, seed), f"id {kind}, pieces array<int>")
+    return found.withColumnRenamed("id", id)
 
 
 def decode(df: DataFrame, id: str = "doc_id", column: str = "pieces", model: str = MODEL) -> DataFrame:
     """One row per input row: id, ``pieces`` and ``text``, which the pieces stand for."""
     source = df.select(F.col(id).alias("id"), F.col(column).alias("pieces"))
     kind = source.schema["id"].dataType.simpleString()
+    found = arrow_map(source, lambda b: _decoded(b, model), f"id {kind}, pieces array<int>, text string")
+    return found.withColumnRenamed("id", id)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pieces(model)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                lists = batch.column(1)
-                ids = np.asarray(lists.flatten())
-                ends = np.cumsum(np.asarray(lists.value_lengths().fill_null(0)), dtype=np.int64)
-                texts = [x.decode("utf-8", "surrogatepass") for x in text_of(ids, ends, known)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), lists, pa.array(texts, pa.string(), mask=np.asarray(lists.is_null()))], names=["id", "pieces", "text"]
-                )
 
-    return source.mapInArrow(run, f"id {kind}, pieces array<int>, text string").withColumnRenamed("id", id)
+def encode_and_decode(
+    df: DataFrame, id: str = "doc_id", text: str = "text", model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED
+) -> DataFrame:
+    """``decode(encode(df))`` in one pass over the rows: half the Python processes."""
+    source, kind = _keyed(df, id, text)
+    found = arrow_map(
+        source, lambda b: _decoded(_encoded(b, model, dropout, seed), model), f"id {kind}, pieces array<int>, text string"
+    )
+    return found.withColumnRenamed("id", id)
 
 
 def op9_sentencepiece(spark, folder):
-    back = decode(encode(documents(spark, folder)))
+    back = encode_and_decode(documents(spark, folder))
     return back.select(
         "doc_id",
         F.size("pieces").cast("long").alias("n_pieces"),

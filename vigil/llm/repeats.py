@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import documents, stored
+from vigil.llm.common import arrow_map, documents, stored
 from vigil.llm.words import U, byte_rows, slices, span_hashes, window_hashes, word_bounds, word_hashes
 
 SIZE = 35
@@ -103,7 +103,7 @@ def _branch_edges(docs: DataFrame, reps: DataFrame, size: int) -> DataFrame:
                 )
 
     lists = reps.groupBy("rep.k1", "rep.k2").agg(F.collect_list(F.struct("rep.s", "rep.n", "m")).alias("parts"))
-    return docs.join(lists, KEY).select(*KEY, "text", "parts").mapInArrow(run, "k1 bigint, k2 int, s int, edge bigint, m bigint")
+    return arrow_map(docs.join(lists, KEY).select(*KEY, "text", "parts"), run, "k1 bigint, k2 int, s int, edge bigint, m bigint")
 
 
 def repeated_parts(docs: DataFrame, size: int, anchor: int) -> DataFrame:
@@ -117,7 +117,7 @@ def repeated_parts(docs: DataFrame, size: int, anchor: int) -> DataFrame:
                 rest = [pa.array(x.astype(np.int32)) for x in (s, n)] + [pa.array(x.view(np.int64)) for x in (a, c)]
                 yield pa.RecordBatch.from_arrays([*keys, *rest], names=["k1", "k2", "s", "n", "anchor", "path"])
 
-    found = stored(docs.select(*KEY, "text").mapInArrow(run, PATH))
+    found = stored(arrow_map(docs.select(*KEY, "text"), run, PATH))
     anchors = found.groupBy("anchor").agg(F.count("*").alias("c"), F.min("path").alias("a"), F.max("path").alias("b"))
     anchors = stored(anchors.filter("c > 1").select("anchor", (F.col("a") != F.col("b")).alias("branches")))
     shared = stored(found.join(anchors, "anchor"))
@@ -173,7 +173,7 @@ def without_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", size:
 
     placed = docs.join(repeated_parts(docs, size, anchor), KEY, "left").select("id", "text", "parts")
     schema = f"id {kind}, n_words bigint, n_removed bigint, spans array<struct<begin:bigint,end:bigint>>, kept_text string"
-    return placed.mapInArrow(run, schema).withColumnRenamed("id", id)
+    return arrow_map(placed, run, schema).withColumnRenamed("id", id)
 
 
 def op2_substring_dedup(spark, folder):

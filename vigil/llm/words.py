@@ -119,7 +119,7 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def slices(batch: pa.RecordBatch, column: int, limit: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20):
     """Cut a batch so that a string column's slice has about ``limit`` bytes at most (one longer row stands alone)."""
     if batch.num_rows == 0:
         return
