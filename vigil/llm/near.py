@@ -6,7 +6,7 @@
 3. Every member of a bucket is compared with the bucket's first document on the full sets.
 4. Only pairs of one bucket that are still in different components can add anything. The members outside the bucket's main
    component are compared with the others inside the join's condition: by size, by a sketch of one bit per minimum (six
-   standard deviations wide) and by the intersection of the sets in 32-bit hashes, which loses no link. So the pairs of a group
+   standard deviations wide), in the first bucket that both are in only, and by the intersection of the sets in 32-bit hashes, which loses no link. So the pairs of a group
    are not written out, only links are; these are confirmed on the full sets.
 5. Components come from alternating large-star and small-star.
 
@@ -128,7 +128,7 @@ def near_duplicates(
     entries = sets.select(F.explode("bands").alias("band"), "rep")
     shared = stored(entries.groupBy("band").agg(F.count("*").alias("m"), F.min("rep").alias("lead")).filter("m > 1"))
     members = stored(entries.join(shared.select("band", "lead"), "band"))
-    sketches = sets.select("rep", "n", "w0", "w1", "w2")
+    sketches = sets.select("rep", "n", "bands", "w0", "w1", "w2")
 
     needed = members.select(F.col("rep").alias("id")).distinct()
     full = stored(arrow_map(bare.join(needed, "id", "left_semi"), lambda b: _full_sets(b, size), f"id {kind}, shingles array<long>, low array<int>"))
@@ -144,13 +144,14 @@ def near_duplicates(
     # the bucket's first document has been compared with all others
     rest = placed.filter("rep <> lead").join(parts.select("band", "main"), "band")
     low = full.select(F.col("id").alias("rep"), "low")
-    rest = stored(rest.join(sketches, "rep").join(low, "rep").select("band", "rep", "comp", "main", "n", "w0", "w1", "w2", "low"))
+    rest = stored(rest.join(sketches, "rep").join(low, "rep").select("band", "rep", "comp", "main", "n", "bands", "w0", "w1", "w2", "low"))
     if not rest.isEmpty():
         a, b = rest.filter("comp <> main").alias("a"), rest.alias("b")
         apart = sum((F.bit_count(F.col(f"a.w{i}").bitwiseXOR(F.col(f"b.w{i}"))) for i in range(3)), F.lit(0))
+        once = F.array_intersect("a.bands", "b.bands")[0] == F.col("a.band")  # each pair in its first common bucket only
         both = F.size(F.array_intersect("a.low", "b.low")).cast("long") + SLACK
         same = both * 100 >= (F.col("a.n") + F.col("b.n") - both) * percent
-        close = (F.col("a.comp") != F.col("b.comp")) & _sizes_fit("a.n", "b.n", percent) & (apart <= MOST_BITS) & same
+        close = (F.col("a.comp") != F.col("b.comp")) & _sizes_fit("a.n", "b.n", percent) & (apart <= MOST_BITS) & once & same
         pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & close)
         pairs = pairs.select(F.least("a.rep", "b.rep").alias("u"), F.greatest("a.rep", "b.rep").alias("v")).distinct()
         more = stored(_confirmed(pairs, full, percent).distinct())
