@@ -249,6 +249,31 @@ def test_licences(spark):
     assert len(licences.KNOWN) == len(licences.SENTENCES)
 
 
+def test_versions_of_notices_cut_in_parts(spark):
+    gpl = "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; "
+    colon = gpl.replace("software;", "software:").replace("Foundation; ", "Foundation, ")
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v. "
+    given = [
+        (gpl + "either version 2 of the License, or\n(at your option) any later version.", "GPL-2.0-or-later"),
+        (gpl + "either version 3 of the License, or\n(at your option) any later version.", "GPL-3.0-or-later"),
+        (gpl + "either version 3, or (at your option)\nany later version.", "GPL-3.0-or-later"),
+        (gpl + "version 2 of the License.\n\nMore.", "GPL-2.0-only"),
+        (gpl + "version 2.", "GPL-2.0-only"),
+        (gpl.replace("\n", " ") + "version 3 of the License.", "GPL-3.0-only"),
+        (gpl + "see the file COPYING.", ""),
+        ("either version 3 of the License, or (at your option) any later version.\n\n" + gpl, ""),
+        (colon + "either version 2 of the License, or (at your option) any later version.", "GPL-2.0-or-later"),
+        (colon + "version 2 of the License.", "GPL-2.0-only"),
+        (mpl + "2.0. If a copy of the MPL was not distributed with this file, You can obtain one.", "MPL-2.0"),
+        (mpl.replace("the Mozilla", "the\nMozilla") + "\n2.0.", "MPL-2.0"),
+        (mpl + "1.1. If a copy", ""),
+        (mpl + "2.0.1.", ""),
+        (mpl, ""),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(given)], "doc_id long, text string")
+    assert {r["doc_id"]: r["licences"] for r in licences.licences(df).collect()} == {i: x for i, (_, x) in enumerate(given)}
+
+
 def test_urls(spark):
     given = [
         None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/1?x", "http://a.example.com/en", "http://example.com/en/", "https://x.net/es/?q",

@@ -5,6 +5,9 @@ case, letters and digits only. Sentences that are not known are passed over, so
 not hide a licence; a rule holds where its identifiers stand next to each other in what remains. Every known sentence
 contains one of ``SIGNS``, so texts without any of them need not be cut. One projection of built-in functions: no shuffle.
 
+A notice that cutting takes apart at a semicolon is a rule over its parts, the one with the version included. The version of
+the Mozilla licence, cut off after "v.", is looked up in the text; the SQL twin does not do that and takes every version for 2.0.
+
 Defined results: null or empty texts hold no licence; ids may repeat or be null; an empty table gives an empty result; other
 columns are ignored.
 """
@@ -36,7 +39,18 @@ SENTENCES = {
     "apache-copy": "You may obtain a copy of the License at",
     "gpl3-notice": "This work is licensed under the GNU General Public License, version 3.",
     "gpl-grant": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    "gpl2-grant": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "gpl2-grant": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version.",
+    "gpl2-only-grant": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, version 2 of the License.",
+    "gpl3-only-grant": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, version 3 of the License.",
+    "gpl-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation;",
+    "gpl2-or-later": "either version 2 of the License, or (at your option) any later version.",
+    "gpl2-or-later-2": "either version 2, or (at your option) any later version.",
+    "gpl2-only": "version 2 of the License.",
+    "gpl2-only-2": "version 2.",
+    "gpl3-or-later": "either version 3 of the License, or (at your option) any later version.",
+    "gpl3-or-later-2": "either version 3, or (at your option) any later version.",
+    "gpl3-only": "version 3 of the License.",
+    "gpl3-only-2": "version 3.",
     "lgpl-notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
     "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "cc-by-nc": "Licensed under CC BY-NC 4.0.",
@@ -57,6 +71,16 @@ RULES = (
     ("GPL-3.0", ("gpl3-notice",)),
     ("GPL-3.0-or-later", ("gpl-grant",)),
     ("GPL-2.0-or-later", ("gpl2-grant",)),
+    ("GPL-2.0-only", ("gpl2-only-grant",)),
+    ("GPL-3.0-only", ("gpl3-only-grant",)),
+    ("GPL-2.0-or-later", ("gpl-terms", "gpl2-or-later")),
+    ("GPL-2.0-or-later", ("gpl-terms", "gpl2-or-later-2")),
+    ("GPL-2.0-only", ("gpl-terms", "gpl2-only")),
+    ("GPL-2.0-only", ("gpl-terms", "gpl2-only-2")),
+    ("GPL-3.0-or-later", ("gpl-terms", "gpl3-or-later")),
+    ("GPL-3.0-or-later", ("gpl-terms", "gpl3-or-later-2")),
+    ("GPL-3.0-only", ("gpl-terms", "gpl3-only")),
+    ("GPL-3.0-only", ("gpl-terms", "gpl3-only-2")),
     ("LGPL-3.0", ("lgpl-notice",)),
     ("MPL-2.0", ("mpl-notice",)),
     ("CC-BY-NC-4.0", ("cc-by-nc",)),
@@ -67,17 +91,21 @@ RULES = (
 )
 # A rule whose sequence another rule continues gives way where that one holds.
 GIVES_WAY = {"BSD-2-Clause": "BSD-3-Clause"}
-SIGNS = ("licen", "permission", "redistribut", "merchantability", "endorse")
+SIGNS = ("licen", "permission", "redistribut", "merchantability", "endorse", "later version", "version 2", "version 3")
 
 LINE = r"\n+|[.;:!?]+[\s)\"']+"
 PARAGRAPH = r"\n\s*\n\s*|[.;:!?]+[\s)\"']+"
 
 
+# "v." ends a sentence for both cuts; where another version than 2.0 follows, Spark's side spoils the part before it.
+OTHER_MPL = r"(?i)(mozilla\s+public\s+license,?\s+v)\.(?!\s*2\.0(?!\.?\d))"
+
+
 def normal(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
 
 
-# The longest part that cutting leaves of a known sentence stands for it.
+# The longest part that cutting leaves of a known sentence stands for it; what else must hold is a sentence of its own, or OTHER_MPL.
 KNOWN = {max((normal(part) for part in re.split(LINE, text + " ")), key=len): name for name, text in SENTENCES.items()}
 
 
@@ -103,6 +131,7 @@ def licences(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     for sign in SIGNS:
         signed = signed | F.lower("text").contains(sign)
     relevant = F.when(signed, F.col("text")).otherwise("")
+    relevant = F.regexp_replace(relevant, OTHER_MPL, "$1 other ")
     found = bare.select("id", _identifiers(relevant, LINE).alias("a"), _identifiers(relevant, PARAGRAPH).alias("b"))
     names = F.array_union(_licences(F.col("a")), _licences(F.col("b")))
     out = found.select("id", "a", names.alias("names"))
