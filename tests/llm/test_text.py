@@ -274,6 +274,20 @@ def test_versions_of_notices_cut_in_parts(spark):
     assert {r["doc_id"]: r["licences"] for r in licences.licences(df).collect()} == {i: x for i, (_, x) in enumerate(given)}
 
 
+def test_reserved_rights(spark):
+    mit = [licences.SENTENCES[i] for i in ("mit-grant", "mit-keep", "mit-as-is")]
+    given = [
+        ("word word\nAll rights reserved.\nword", "all-rights-reserved", "reserved"),
+        ("Copyright 2020 Someone. ALL RIGHTS\nRESERVED.", "all-rights-reserved", ""),  # wrapped: a sentence of the paragraph, not of a line
+        ("Copyright 2020 Someone. All rights reserved.\nReleased under the MIT License.", "MIT,all-rights-reserved", "reserved mit-notice"),
+        ("\n".join([mit[0], "Page 1, 2020 Someone. All rights reserved.", *mit[1:]]), "MIT,all-rights-reserved", "mit-grant reserved mit-keep mit-as-is"),
+        ("not all rights reserved for us", "", ""),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, *_) in enumerate(given)], "doc_id long, text string")
+    found = {r["doc_id"]: (r["licences"], r["sentences"]) for r in licences.licences(df).collect()}
+    assert found == {i: tuple(x) for i, (_, *x) in enumerate(given)}
+
+
 def test_urls(spark):
     given = [
         None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/1?x", "http://a.example.com/en", "http://example.com/en/", "https://x.net/es/?q",

@@ -8,6 +8,8 @@ contains one of ``SIGNS``, so texts without any of them need not be cut. One pro
 A notice that cutting takes apart at a semicolon is a rule over its parts, the one with the version included. The version of
 the Mozilla licence, cut off after "v.", is looked up in the text; the SQL twin does not do that and takes every version for 2.0.
 
+"All rights reserved." is reported as ``all-rights-reserved``, also beside a licence whose text or copyright line holds it.
+
 Defined results: null or empty texts hold no licence; ids may repeat or be null; an empty table gives an empty result; other
 columns are ignored.
 """
@@ -15,6 +17,7 @@ columns are ignored.
 from __future__ import annotations
 
 import re
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +61,7 @@ SENTENCES = {
     "cc-by-sa": "Licensed under CC BY-SA 4.0.",
     "cc-by-text": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "cc-by-sa-text": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "reserved": "All rights reserved.",
 }
 RULES = (
     ("MIT", ("mit-grant", "mit-keep", "mit-as-is")),
@@ -88,10 +92,17 @@ RULES = (
     ("CC-BY-4.0", ("cc-by-text",)),
     ("CC-BY-SA-4.0", ("cc-by-sa",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-text",)),
+    ("all-rights-reserved", ("reserved",)),
+)
+# Like a name or a year, a copyright line between two sentences does not hide a licence.
+RULES = tuple(
+    (name, (ids[0], *(x for also, id in zip(gaps, ids[1:], strict=True) for x in (*also, id))))
+    for name, ids in RULES
+    for gaps in product(((), ("reserved",)), repeat=len(ids) - 1)
 )
 # A rule whose sequence another rule continues gives way where that one holds.
 GIVES_WAY = {"BSD-2-Clause": "BSD-3-Clause"}
-SIGNS = ("licen", "permission", "redistribut", "merchantability", "endorse", "later version", "version 2", "version 3")
+SIGNS = ("licen", "permission", "redistribut", "merchantability", "endorse", "later version", "version 2", "version 3", "reserved")
 
 LINE = r"\n+|[.;:!?]+[\s)\"']+"
 PARAGRAPH = r"\n\s*\n\s*|[.;:!?]+[\s)\"']+"
