@@ -151,6 +151,21 @@ def test_no_labels_and_no_letters(spark, trained):
     assert found[5]["lang_pred"] != "und"
 
 
+def test_sample_has_every_language_at_any_size(spark, monkeypatch):
+    monkeypatch.setattr(language, "fit", lambda texts, labels: list(zip(labels, texts, strict=True)))
+    docs = spark.range(2_000_000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "if(id % 1000 = 0, 'de', 'en') AS lang")
+    copies = spark.range(100_000).selectExpr("1L AS doc_id", "'one text' AS text", "'fr' AS lang")
+    all_rows = docs.unionByName(copies)
+    for rows in (3, 9):
+        drawn = language.train(all_rows, rows=rows)
+        least = {}
+        order = "row_number() OVER (PARTITION BY lang ORDER BY shiftrightunsigned(xxhash64(doc_id, text), 1), doc_id, text)"
+        held = docs.filter("pmod(crc32(cast(doc_id AS string)), 5) <> 0").selectExpr("lang", "text", f"{order} AS place")
+        for r in held.filter(f"place <= {rows // 3}").orderBy("lang", "place").collect():
+            least.setdefault(r["lang"], []).append((r["lang"], r["text"]))
+        assert drawn == least["de"] + least["en"] + [("fr", "one text")] * (rows // 3)
+
+
 # --- pieces -----------------------------------------------------------------------------------------------------------
 
 TEXTS = ["", " ", "  a", "Hello  world\n\tx é 漢字😀", "x" * 300 + " " + "abcde" * 60, "日本語テキスト" * 30, "<s> <0x41> \u2581", "the nation of them"]

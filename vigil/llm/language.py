@@ -6,8 +6,8 @@ them by gradient steps on the likelihood, whose gradient comes from forward-back
 labelled texts, and half of them join two texts, so that switches inside a text are seen. Labelling runs forward-backward
 over all words of an Arrow batch at once: the sequence is cut into equal pieces whose transfer products are combined.
 
-The fit uses a bounded sample: at most ``MOST_ROWS`` rows over all languages, of texts of at most ``MOST_CHARS`` characters, chosen by
-a hash of the id. Nothing else is sampled; every word of every text is labelled.
+The fit uses a bounded sample: at most ``MOST_ROWS`` rows over all languages (but one of each at least), of texts of at most
+``MOST_CHARS`` characters: of every language as many rows of least hash of id and text, however many rows it has. Nothing else is sampled; every word of every text is labelled.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; without any labelled row every text is
 ``und``; ids may repeat or be null; an empty table gives an empty result; other columns are ignored.
@@ -15,12 +15,13 @@ Defined results: a text that is null or has no letter is ``und`` with score 0; w
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.llm.common import arrow_map, documents
@@ -28,6 +29,7 @@ from vigil.llm.words import U, byte_rows, keyed, mixed, slices, word_hashes
 
 MOST_ROWS = 1200
 MOST_CHARS = 20_000
+DRAWS = 1 << 63
 SLOTS = 1 << 17
 LENGTH = 32
 LEAST_SCORE = 0.5
@@ -231,6 +233,13 @@ def _expected(scores: np.ndarray, moves: np.ndarray, starts: np.ndarray) -> tupl
     return gamma, pairs
 
 
+def _least(labelled: DataFrame, each: int) -> list[tuple[str, str]]:
+    """Language and text of the ``each`` rows of least hash of every language, in this order."""
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "id", "text"))
+    ranked = labelled.withColumn("place", place).filter(F.col("place") <= each).select("lang", "place", "text").collect()
+    return [(r["lang"], r["text"]) for r in sorted(ranked, key=lambda r: (r["lang"], r["place"]))]
+
+
 def train(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = MOST_ROWS) -> Model:
     """Fit on a bounded sample of the labelled rows outside the held-out fifth, evenly over languages."""
     labelled = df.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter(
@@ -242,16 +251,17 @@ def train(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
     if not counts:
         return Model((), np.zeros((1, 0)), np.zeros((0, 0)), np.zeros(0))
     each = max(1, rows // len(counts))
-    draw = F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000))
-    chosen = F.lit(False)
-    for name, n in sorted(counts.items()):
-        chosen = chosen | ((F.col("lang") == name) & (draw < int(min(1.0, 1.2 * each / n) * 1_000_000)))
-    drawn = labelled.filter(chosen).select("lang", "text", draw.alias("draw"), "id").orderBy("draw", "id", "text").limit(3 * rows).collect()
-    taken: dict[str, list[str]] = {}
-    for r in drawn:
-        taken.setdefault(r["lang"], []).append(r["text"])
-    pairs = [(t, name) for name, texts in sorted(taken.items()) for t in texts[:each]]
-    return fit([t for t, _ in pairs], [name for _, name in pairs])
+    labelled = labelled.withColumn("draw", F.shiftrightunsigned(F.xxhash64("id", "text"), 1))
+    # The bound only keeps the ranking small: it leaves more than ``each`` rows, unless very many rows are equal.
+    bounds = {name: min(DRAWS - 1, int((1.2 * each + 64) / n * DRAWS)) for name, n in counts.items()}
+    bound = F.element_at(F.create_map(*(F.lit(x) for pair in sorted(bounds.items()) for x in pair)), F.col("lang"))
+    drawn = _least(labelled.filter(F.col("draw") <= bound), each)
+    taken = Counter(name for name, _ in drawn)
+    short = sorted(name for name, n in counts.items() if taken[name] < min(each, n))
+    if short:
+        drawn = [x for x in drawn if x[0] not in short] + _least(labelled.filter(F.col("lang").isin(short)), each)
+        drawn.sort(key=lambda x: x[0])
+    return fit([t for _, t in drawn], [name for name, _ in drawn])
 
 
 def _labelled(column: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
