@@ -96,6 +96,20 @@ def test_near_groups_of_unlike_members(spark):
     assert sorted(map(tuple, found)) == brute_near(rows)
 
 
+def test_coinciding_low_hashes_lose_no_link(spark, monkeypatch):
+    """Of 40 shingles 38 are common, 35 of these have one low hash."""
+    common = [i << 32 for i in range(35)] + [1, 2, 3]
+    sets = [np.array(sorted([*common, *own]), np.uint64) for own in ((4, 5), (6, 7))]
+    monkeypatch.setattr(near, "shingle_sets", lambda column, size: iter(sets))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a", "b"])], names=["id", "text"])
+    rows = [r for out in near._full_sets(iter([batch]), 5) for r in out.to_pylist()]
+    assert [r["alike"] for r in rows] == [34, 34]
+    df = spark.createDataFrame([(r["id"], len(r["shingles"]), r["low"], r["alike"]) for r in rows], "id long, n long, low array<int>, alike long")
+    pairs = df.alias("a").join(df.alias("b"), F.col("a.id") < F.col("b.id"))
+    assert pairs.filter(near._low_fit("a", "b", 75)).count() == 1
+    assert pairs.filter(near._low_fit("a", "b", 96)).count() == 0
+
+
 def test_components(spark):
     pick = random.Random(4)
     links = [(i, i + 1) for i in range(0, 60)] + [(200, 300 + i) for i in range(50)] + [(pick.randrange(400, 460), pick.randrange(400, 460)) for _ in range(40)]

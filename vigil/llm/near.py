@@ -32,7 +32,6 @@ PERCENT = 75
 BANDS = 36
 ROWS = 4
 MOST_BITS = 42
-SLACK = 2  # shingles of one set that may share a 32-bit hash
 _MULTIPLY = (keyed(BANDS * ROWS, 101) | U(1))[:, None]
 _ADD = keyed(BANDS * ROWS, 102)[:, None]
 _JOIN = keyed(ROWS, 103) | U(1)
@@ -98,13 +97,20 @@ def _full_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Reco
             flat = np.concatenate(sets)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
             low = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, low], names=["id", "shingles", "low"])
+            alike = pa.array([len(x) - len(np.unique(x.astype(np.int32))) for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, low, alike], names=["id", "shingles", "low", "alike"])
 
 
 def _sizes_fit(a: str, b: str, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def _low_fit(a: str, b: str, percent: int) -> Column:
+    """Whether the sets can be similar enough by their 32-bit hashes, of which ``alike`` coincide with another of the set."""
+    both = F.size(F.array_intersect(f"{a}.low", f"{b}.low")).cast("long") + F.least(f"{a}.alike", f"{b}.alike")
+    return both * 100 >= (F.col(f"{a}.n") + F.col(f"{b}.n") - both) * percent
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``u``, ``v`` whose full sets are similar enough."""
     left = sets.select(F.col("id").alias("u"), F.col("shingles").alias("x"))
@@ -131,7 +137,7 @@ def near_duplicates(
     sketches = sets.select("rep", "n", "bands", "w0", "w1", "w2")
 
     needed = members.select(F.col("rep").alias("id")).distinct()
-    full = stored(arrow_map(bare.join(needed, "id", "left_semi"), lambda b: _full_sets(b, size), f"id {kind}, shingles array<long>, low array<int>"))
+    full = stored(arrow_map(bare.join(needed, "id", "left_semi"), lambda b: _full_sets(b, size), f"id {kind}, shingles array<long>, low array<int>, alike long"))
     stars = members.filter("rep <> lead").select(F.col("lead").alias("u"), F.col("rep").alias("v")).distinct()
     links = stored(_confirmed(stars, full, percent).distinct())
     roots = components(links)
@@ -143,15 +149,13 @@ def near_duplicates(
     parts = parts.agg(F.count("*").alias("c"), F.max_by("comp", F.struct("m", "comp")).alias("main")).filter("c > 1")
     # the bucket's first document has been compared with all others
     rest = placed.filter("rep <> lead").join(parts.select("band", "main"), "band")
-    low = full.select(F.col("id").alias("rep"), "low")
-    rest = stored(rest.join(sketches, "rep").join(low, "rep").select("band", "rep", "comp", "main", "n", "bands", "w0", "w1", "w2", "low"))
+    low = full.select(F.col("id").alias("rep"), "low", "alike")
+    rest = stored(rest.join(sketches, "rep").join(low, "rep").select("band", "rep", "comp", "main", "n", "bands", "w0", "w1", "w2", "low", "alike"))
     if not rest.isEmpty():
         a, b = rest.filter("comp <> main").alias("a"), rest.alias("b")
         apart = sum((F.bit_count(F.col(f"a.w{i}").bitwiseXOR(F.col(f"b.w{i}"))) for i in range(3)), F.lit(0))
         once = F.array_intersect("a.bands", "b.bands")[0] == F.col("a.band")  # each pair in its first common bucket only
-        both = F.size(F.array_intersect("a.low", "b.low")).cast("long") + SLACK
-        same = both * 100 >= (F.col("a.n") + F.col("b.n") - both) * percent
-        close = (F.col("a.comp") != F.col("b.comp")) & _sizes_fit("a.n", "b.n", percent) & (apart <= MOST_BITS) & once & same
+        close = (F.col("a.comp") != F.col("b.comp")) & _sizes_fit("a.n", "b.n", percent) & (apart <= MOST_BITS) & once & _low_fit("a", "b", percent)
         pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & close)
         pairs = pairs.select(F.least("a.rep", "b.rep").alias("u"), F.greatest("a.rep", "b.rep").alias("v")).distinct()
         more = stored(_confirmed(pairs, full, percent).distinct())
