@@ -64,7 +64,11 @@ def valid_events(records: DataFrame) -> DataFrame:
 
 
 def distinct_events(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Exact copies of an event within ``lateness`` collapse to the first to arrive, as on tables."""
+    """Exact copies of an event within ``lateness`` collapse to the first to arrive, as on tables.
+
+    Spark leaves out every row behind the watermark, copy or not: unlike on tables, an event that comes more than ``lateness``
+    behind the latest one before its micro-batch can be lost.
+    """
     content = [c for c in events.columns if c not in ("event_id", "seq")]
     timed = events.withColumn("_at", F.timestamp_seconds("sec")).withWatermark("_at", lateness)
     return timed.dropDuplicatesWithinWatermark(content).drop("_at")
