@@ -4,10 +4,11 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from vigil.operators import contracts, detect, fusion
+from vigil.operators import contracts, detect, fusion, strict
 from vigil.operators.features import Scaler, ml_batch_features, session_features
 from vigil.operators.history import Tuning
 from vigil.operators.model import Autoencoder, ml_verdicts
+from vigil.operators.past import Past
 from vigil.plans.results import IDLE, TUNING
 from vigil.sources.canon import event_records
 from vigil.sources.stores import Store
@@ -99,23 +100,59 @@ def test_fusion_equals_tables(spark, arrived, tmp_path):
     assert rows(rounded(store.read("fused").drop("batch_id"))) == rows(rounded(fusion.fuse(stat, ml, IDLE)))
 
 
-def test_strict_mode_leaves_failed_events_out(spark, topic, arrived, tmp_path):
+def test_strict_mode_equals_tables(spark, topic, arrived, tmp_path):
     stream = jobs.valid_events(topic.read(spark, EVENTS))
     store = Store(spark, str(tmp_path / "out"))
     verdicts = jobs.strict_verdicts(stream, arrived, TUNING)
     jobs.store_stream(verdicts, store, "strict", str(tmp_path / "checkpoint")).awaitTermination()
-    strict = {r["event_id"]: r for r in store.read("strict").collect()}
-    known: dict[int, set[int]] = {}
-    failed = 0
-    for e in arrived.orderBy("sec", "seq").collect():
-        verdict = strict[e["event_id"]]
-        hours = known.setdefault(e["user_id"], set())
-        if verdict["status"] == "error_missing_hour":
-            failed += 1
-            assert e["hour"] not in hours
-        else:
-            hours.add(e["hour"])
-    assert failed > 0 and len(strict) == arrived.count()
+    table = strict.strict_verdicts(arrived, TUNING, strict.stored_transitions(arrived, TUNING), limit=120)
+    assert rows(store.read("strict").drop("batch_id")) == rows(table)
+
+
+class CountedMap:
+    """A map state that counts what is read."""
+
+    def __init__(self):
+        self.rows, self.reads = {}, 0
+
+    def getValue(self, key):
+        self.reads += 1
+        return self.rows.get(key)
+
+    def containsKey(self, key):
+        self.reads += 1
+        return key in self.rows
+
+    def updateValue(self, key, value):
+        self.rows[key] = value
+
+    def removeKey(self, key):
+        del self.rows[key]
+
+    def clear(self):
+        self.rows.clear()
+
+
+def test_reads_do_not_grow_with_the_history():
+    """After 50 or 2,000 events of a user, one more event reads the same few entries."""
+    maps = {name: CountedMap() for name in Past.MAPS}
+    last, hours, reads = None, None, {}
+    for i in range(2001):
+        past = Past(TUNING, lambda name: p.Points(maps[name]))
+        if last:
+            past.last, past.hours = last, hours
+        before = sum(m.reads for m in maps.values())
+        event = {"sec": i * 40, "hour": i // 90 % 24, "event_type": ("login", "other")[i % 2], "ip": f"ip{i}", "user_agent": f"a{i % 9}", "country": "C"}
+        seen = past.observe(event)
+        window = TUNING.type_windows.get(event["event_type"], TUNING.default_type_window)
+        assert seen["type_count"] == sum(1 for k in range(i % 2, i, 2) if k * 40 >= i * 40 - window)
+        past.store(event, seen["recorded"])
+        for entries in past.maps.values():
+            entries.save()
+        last, hours = past.last, past.hours
+        reads[i] = sum(m.reads for m in maps.values()) - before
+    assert len(maps["values"].rows) > 2000
+    assert max(reads[i] for i in range(1900, 2001)) <= max(reads[i] for i in range(20, 60)) + 4 <= 24
 
 
 def test_order_survives_a_batch_of_many_files(spark, first_stage, arrived, tmp_path):
@@ -219,7 +256,7 @@ def test_strict_lookups_equal_the_histogram(spark, arrived, tmp_path):
     counts = {(None, "a", "b"): 2, ("x", "a", "b"): 3, ("x", "a", "c"): 5, ("y", "a", "b"): 7}
     df = spark.createDataFrame([(*k, v) for k, v in counts.items()], "prev2 STRING, prev1 STRING, cur STRING, n LONG")
     df.withColumn("part", F.pmod(F.crc32("prev1"), F.lit(8))).write.partitionBy("part").parquet(f"{tmp_path}/h")
-    stored = p.StoredTransitions(f"file://{tmp_path}/h", 8, most=1)
+    stored = strict.StoredTransitions(f"file://{tmp_path}/h", 8, most=1)
     assert stored.of("x", "a", "b") == (17, 12, 8, 3)
     assert stored.of("x", "q", "b") == (0, 0, 0, 0) == stored.of(None, None, "b")
 

@@ -19,6 +19,7 @@ from vigil.operators import fusion as fus
 from vigil.operators import history as h
 from vigil.operators import lookups as look
 from vigil.operators import model as mod
+from vigil.operators import strict
 from vigil.operators import training as tr
 from vigil.plans.results import (
     IDLE,
@@ -483,6 +484,11 @@ def stat_verdicts(ev: DataFrame) -> DataFrame:
     return det.stat_verdicts(ev, TUNING).drop("seq")
 
 
+@query("strict_verdicts")
+def strict_verdicts(ev: DataFrame) -> DataFrame:
+    return strict.strict_verdicts(ev, TUNING).drop("seq")
+
+
 # --- session features and model ---------------------------------------------------------------------------------
 
 

@@ -10,7 +10,6 @@ table that each micro-batch reads and extends; inside a micro-batch the table op
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
@@ -18,18 +17,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil.functions.columns import minute, unix_seconds
-from vigil.operators import contracts, detect
+from vigil.operators import contracts, detect, strict
 from vigil.operators.features import Scaler
 from vigil.operators.fusion import ML, STAT
-from vigil.operators.history import FIRST, SECOND, Tuning, global_transitions, transition_histogram
+from vigil.operators.history import FIRST, SECOND, Tuning, global_transitions
 from vigil.operators.model import THRESHOLD_MULTIPLIER, Autoencoder, ml_verdicts
 from vigil.operators.series import join_null_safe
-from vigil.session import intermediate_folder
 from vigil.sources.stores import Store, raw_event_rows
 from vigil.streaming import processors as p
 
 DAY_MS = 86_400_000
-PARTS = 256
 LATENESS = "10 minutes"
 ALL_THERE_IS = {"availableNow": True}
 
@@ -98,12 +95,8 @@ def strict_verdicts(
     events: DataFrame, stored_events: DataFrame, tuning: Tuning = Tuning(), ttl_ms: int | None = None
 ) -> DataFrame:
     """Verdicts in strict mode. The histogram of the stored events is written once, in parts that tasks look up."""
-    histogram = transition_histogram(stored_events, tuning).where("markov_order = 2")
-    folder = f"{intermediate_folder(events.sparkSession)}/transitions-{uuid.uuid4().hex}"
-    part = F.pmod(F.crc32("prev1"), F.lit(PARTS))
-    histogram.withColumn("part", part).repartition("part").write.partitionBy("part").parquet(folder)
-    processor = p.StrictHistory(tuning, p.StoredTransitions(folder, PARTS), ttl_ms)
-    return _keyed(events, "user_id", processor, p.STRICT_SCHEMA, ttl_ms)
+    processor = p.StrictHistory(tuning, strict.stored_transitions(stored_events, tuning), ttl_ms)
+    return strict.verdicts_of(_keyed(events, "user_id", processor, p.STRICT_SCHEMA, ttl_ms), tuning)
 
 
 # --- transitions of all users -----------------------------------------------------------------------------------

@@ -1,7 +1,7 @@
 """Keyed state for streams: user history, moving averages, session batches, fusion.
 
-Each processor reads its state once per key and micro-batch, walks the new rows of the key in ``(sec, seq)`` order and
-writes the state back. The columns it gives out are those of the table operators, so everything after it is shared.
+Each processor walks the new rows of a key in ``(sec, seq)`` order; state that grows with a key's history is read and written
+entry by entry. The columns it gives out are those of the table operators, so everything after it is shared.
 
 Expiry follows event time, so a replay gives the same rows. With ``ttl_ms`` the state of a key that falls silent is dropped
 by an event-time timer, once the watermark has passed its last event by that much; events behind the watermark are late
@@ -11,24 +11,20 @@ and are left out by Spark then. Without it, state stays and late events are take
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import sqrt
-from zlib import crc32
 
 import pandas as pd
-from pyarrow.dataset import dataset
-from pyarrow.fs import FileSystem, FileType
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from vigil.operators.features import GROUP
 from vigil.operators.history import Tuning
+from vigil.operators.past import Past, advance
+from vigil.operators.strict import AVERAGES, COUNTED, HISTORY, StoredTransitions
 
 HISTORY_SCHEMA = (
     "event_id LONG, seq LONG, ts TIMESTAMP_NTZ, sec LONG, hour INT, user_id LONG, session_id STRING, "
-    "event_type STRING, ip STRING, user_agent STRING, country STRING, event_type_1 STRING, event_type_2 STRING, "
-    "visible_1 BOOLEAN, visible_2 BOOLEAN, recorded LONG, seen_ip LONG, seen_user_agent LONG, seen_country LONG, "
-    "user_total_1 LONG, user_count_1 LONG, user_total_2 LONG, user_count_2 LONG, hour_count LONG, "
-    "hour_stddev DOUBLE, type_count LONG"
+    f"event_type STRING, ip STRING, user_agent STRING, country STRING, {HISTORY}"
 )
+STRICT_SCHEMA = f"{HISTORY_SCHEMA}, {COUNTED}, {AVERAGES}"
 
 BATCH_FEATURES_SCHEMA = (
     "session_id STRING, batch LONG, unique_ips LONG, unique_countries LONG, unique_agents LONG, event_count LONG, "
@@ -84,38 +80,54 @@ def in_order(rows: Iterator[pd.DataFrame], *order: str) -> pd.DataFrame:
     return frame.sort_values(list(order), kind="stable", ignore_index=True)
 
 
-def hour_spread(hours: dict[int, int]) -> float:
-    mean = sum(hours.values()) / 24.0
-    return sqrt(max(0.0, sum(n * n for n in hours.values()) / 24.0 - mean * mean))
+class Points:
+    """A map state read entry by entry: each entry at most once per micro-batch, and written once if it changed."""
 
+    def __init__(self, state):
+        self.state = state
+        self.known: dict[tuple, tuple | None] = {}
+        self.changed: set[tuple] = set()
 
-class Levels:
-    """Transition counts with the totals of every level at hand."""
+    def get(self, key: tuple) -> tuple | None:
+        if key not in self.known:
+            found = self.state.getValue(key)
+            self.known[key] = None if found is None else tuple(found)
+        return self.known[key]
 
-    def __init__(self, counts=()):
-        self.triples: dict[tuple, int] = {}
-        self.sums: dict[tuple, int] = {}
-        for step, n in counts:
-            self.add(step, n)
+    def put(self, key: tuple, value: tuple | None) -> None:
+        self.known[key] = value
+        self.changed.add(key)
 
-    def add(self, step: tuple, n: int) -> None:
-        before_2, before_1, current = step
-        self.triples[step] = self.triples.get(step, 0) + n
-        for level in ((before_1,), (before_1, current), (before_2, before_1, None, "all")):
-            self.sums[level] = self.sums.get(level, 0) + n
+    def remove(self, key: tuple) -> None:
+        self.put(key, None)
 
-    def of(self, before_2, before_1, current) -> tuple[int, int, int, int]:
-        """First-order total and count, second-order total and count."""
-        return (
-            self.sums.get((before_1,), 0),
-            self.sums.get((before_1, current), 0),
-            self.sums.get((before_2, before_1, None, "all"), 0),
-            self.triples.get((before_2, before_1, current), 0),
-        )
+    def clear(self) -> None:
+        self.state.clear()
+        self.known.clear()
+        self.changed.clear()
+
+    def save(self) -> None:
+        for key in self.changed:
+            value = self.known[key]
+            if value is not None:
+                self.state.updateValue(key, value)
+            elif self.state.containsKey(key):
+                self.state.removeKey(key)
 
 
 class UserHistory(Silent):
-    """What was known about a user before each event; the stream form of ``user_history``."""
+    """What was known about a user before each event; the stream form of ``user_history``.
+
+    An event reads and writes a fixed number of state entries, however long the user's history is.
+    """
+
+    STATES = {
+        "values": ("field STRING, value STRING", "n LONG"),
+        "steps": ("level STRING, a STRING, b STRING, c STRING", "n LONG"),
+        "ends": ("type STRING", "first LONG, behind LONG, n LONG"),
+        "waiting": ("type STRING, i LONG", "sec LONG, n LONG"),
+        "averages": ("type STRING", "ema DOUBLE, sigma DOUBLE, sec LONG"),
+    }
 
     def __init__(self, tuning: Tuning = Tuning(), ttl_ms: int | None = None):
         self.tuning = tuning
@@ -123,100 +135,53 @@ class UserHistory(Silent):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "sec_1 LONG, type_1 STRING, sec_2 LONG, type_2 STRING", None)
-        self.values = handle.getMapState("values", "field STRING, value STRING", "n LONG", None)
-        self.hours = handle.getMapState("hours", "hour INT", "n LONG", None)
-        self.recent = handle.getMapState("recent", "type STRING", "secs ARRAY<LONG>", None)
-        self.steps = handle.getMapState("transitions", "prev2 STRING, prev1 STRING, cur STRING", "n LONG", None)
-        self.remember(handle, self.last, self.values, self.hours, self.recent, self.steps)
-
-    def _load(self) -> None:
-        self._last = tuple(self.last.get()) if self.last.exists() else (None, None, None, None)
-        self._values = {tuple(k): v[0] for k, v in self.values.iterator()}
-        self._hours = {k[0]: v[0] for k, v in self.hours.iterator()}
-        self._recent = {k[0]: list(v[0]) for k, v in self.recent.iterator()}
-        self._steps = Levels((tuple(k), v[0]) for k, v in self.steps.iterator())
-        self._expired = False
-        self._changed: dict[str, set] = {"values": set(), "hours": set(), "recent": set(), "steps": set()}
-
-    def _save(self) -> None:
-        self.last.update(self._last)
-        if self._expired:
-            self.values.clear()
-            self.hours.clear()
-        for k in self._changed["values"] & self._values.keys():
-            self.values.updateValue(k, (self._values[k],))
-        for k in self._changed["hours"] & self._hours.keys():
-            self.hours.updateValue((k,), (self._hours[k],))
-        for k in self._changed["recent"]:
-            self.recent.updateValue((k,), (self._recent[k],))
-        for k in self._changed["steps"]:
-            self.steps.updateValue(k, (self._steps.triples[k],))
-
-    def _known(self, sec: int) -> None:
-        """Value sets and hours go together after ``set_ttl`` without an event."""
-        if self._last[0] is not None and sec - self._last[0] >= self.tuning.set_ttl:
-            self._values, self._hours, self._expired = {}, {}, True
-
-    def _window(self, event_type: str) -> int:
-        return self.tuning.type_windows.get(event_type, self.tuning.default_type_window)
-
-    def observe(self, row) -> dict:
-        """History of one event, from the state before it."""
-        self._known(row.sec)
-        sec_1, type_1, sec_2, type_2 = self._last
-        ttl = self.tuning.history_ttl
-        visible_1 = sec_1 is not None and row.sec - sec_1 < ttl
-        visible_2 = visible_1 and sec_2 is not None and sec_1 - sec_2 < ttl
-        recorded = sec_2 is not None and row.sec - sec_2 < ttl
-        total_1, count_1, total_2, count_2 = self._steps.of(type_2, type_1, row.event_type)
-        oldest = row.sec - self._window(row.event_type)
-        recent = [s for s in self._recent.get(row.event_type, []) if s >= oldest]
-        self._recent[row.event_type] = recent
-        return {
-            "event_type_1": type_1,
-            "event_type_2": type_2,
-            "visible_1": visible_1,
-            "visible_2": visible_2,
-            "recorded": int(recorded),
-            **{f"seen_{f}": self._values.get((f, getattr(row, f)), 0) for f in ("ip", "user_agent", "country")},
-            "user_total_1": total_1,
-            "user_count_1": count_1,
-            "user_total_2": total_2,
-            "user_count_2": count_2,
-            "hour_count": self._hours.get(row.hour, 0),
-            "hour_stddev": hour_spread(self._hours),
-            "type_count": len(recent),
-        }
-
-    def store(self, row, recorded: bool) -> None:
-        for field in ("ip", "user_agent", "country"):
-            key = (field, getattr(row, field))
-            self._values[key] = self._values.get(key, 0) + 1
-            self._changed["values"].add(key)
-        self._hours[row.hour] = self._hours.get(row.hour, 0) + 1
-        self._changed["hours"].add(row.hour)
-        self._recent[row.event_type].append(int(row.sec))
-        self._changed["recent"].add(row.event_type)
-        sec_1, type_1, _, type_2 = self._last
-        if recorded:
-            step = (type_2, type_1, row.event_type)
-            self._steps.add(step, 1)
-            self._changed["steps"].add(step)
-        self._last = (int(row.sec), row.event_type, sec_1, type_1)
+        self.hours = handle.getValueState("hours", "n ARRAY<LONG>", None)
+        self.maps = {name: handle.getMapState(name, *kinds, None) for name, kinds in self.STATES.items()}
+        self.remember(handle, self.last, self.hours, *self.maps.values())
+
+    def _past(self) -> Past:
+        past = Past(self.tuning, lambda name: Points(self.maps[name]))
+        if self.last.exists():
+            past.last = tuple(self.last.get())
+            past.hours = [int(n) for n in self.hours.get()[0]]
+        return past
+
+    def step(self, past: Past, event: dict) -> dict:
+        seen = past.observe(event)
+        past.store(event, seen["recorded"])
+        return seen
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        self._load()
+        past = self._past()
         frame = in_order(rows, "sec", "seq")
-        seen = []
-        for row in frame.itertuples(index=False):
-            observed = self.observe(row)
-            seen.append(observed)
-            self.store(row, bool(observed["recorded"]))
-        self._save()
+        seen = [self.step(past, event) for event in frame.to_dict("records")]
+        self.last.update(past.last)
+        self.hours.update((past.hours,))
+        for entries in past.maps.values():
+            entries.save()
         self.heard(frame["sec"].iloc[-1])
         yield pd.concat([frame, pd.DataFrame(seen)], axis=1)
 
 
+class StrictHistory(UserHistory):
+    """Strict mode: an event at an hour the user never had is not stored.
+
+    Transitions of all users cannot be read from the state of one: ``everyone`` looks them up in the stored histogram, which
+    is fixed when the stream starts.
+    """
+
+    def __init__(self, tuning: Tuning, everyone: StoredTransitions, ttl_ms: int | None = None):
+        super().__init__(tuning, ttl_ms)
+        self.everyone = everyone
+
+    def step(self, past: Past, event: dict) -> dict:
+        return past.strict(event, self.everyone.of)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for frame in super().handleInputRows(key, rows, timerValues):
+            yield frame.astype({c: "float64" for c in ("ema", "deviation", "sigma")})
+
+
 class Averages(Silent):
     """Moving averages per user and type. Only clean events advance them; others pass with null averages."""
 
@@ -245,15 +210,6 @@ class Averages(Silent):
         yield pd.concat([frame, averages], axis=1)
 
 
-def advance(state, value: float, sec: int, tuning: Tuning):
-    """Next ``(ema, sigma, sec)`` and the deviation of ``value``."""
-    if state is None or sec - state[2] >= tuning.ema_ttl:
-        return (value, 0.0, sec), 0.0
-    ema = tuning.alpha * value + (1 - tuning.alpha) * state[0]
-    deviation = abs(value - ema)
-    return (ema, tuning.alpha * deviation + (1 - tuning.alpha) * state[1], sec), deviation
-
-
 class SessionBatches(Silent):
     """Features of every ``size`` events of a session; what is left over waits for more."""
 
@@ -375,119 +331,3 @@ class Fusion(Silent):
             self.heard(last)
         if done:
             yield pd.DataFrame(done)
-
-
-class StoredTransitions:
-    """Transition counts of all users in a folder of ``parts`` by the hash of the last type.
-
-    A task reads the parts its events ask for and keeps the last ``most`` of them, so the histogram may have any size.
-    """
-
-    def __init__(self, folder: str, parts: int, most: int = 64):
-        self.folder, self.parts, self.most = folder, parts, most
-        self.read: dict[int, Levels] = {}
-
-    def __getstate__(self):
-        return self.__dict__ | {"read": {}}
-
-    def of(self, before_2, before_1, current) -> tuple[int, int, int, int]:
-        if before_1 is None:
-            return 0, 0, 0, 0
-        part = crc32(before_1.encode()) % self.parts
-        if part not in self.read:
-            if len(self.read) >= self.most:
-                self.read.pop(next(iter(self.read)))
-            self.read[part] = self._levels(part)
-        return self.read[part].of(before_2, before_1, current)
-
-    def _levels(self, part: int) -> Levels:
-        files, root = FileSystem.from_uri(self.folder)
-        path = f"{root}/part={part}"
-        if files.get_file_info(path).type == FileType.NotFound:
-            return Levels()
-        rows = dataset(path, filesystem=files, format="parquet").to_table().to_pylist()
-        return Levels(((r["prev2"], r["prev1"], r["cur"]), r["n"]) for r in rows)
-
-
-class StrictHistory(UserHistory):
-    """The whole cascade in one pass, in which an event at an hour the user never had is not stored at all.
-
-    That feeds back into every later check, so it only exists as keyed state. Transitions of all users cannot be read
-    from the state of one: ``everyone`` looks them up in the stored histogram, which is fixed when the stream starts.
-    """
-
-    def __init__(self, tuning: Tuning, everyone: StoredTransitions, ttl_ms: int | None = None):
-        super().__init__(tuning, ttl_ms)
-        self.everyone = everyone
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.averages = handle.getMapState("averages", "type STRING", "ema DOUBLE, sigma DOUBLE, sec LONG", None)
-        self.all = (*self.all, self.averages)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        self._load()
-        averages = {k[0]: tuple(v) for k, v in self.averages.iterator()}
-        frame = in_order(rows, "sec", "seq")
-        results = []
-        for row in frame.itertuples(index=False):
-            seen = self.observe(row)
-            kind = self._first_stage(row, seen)
-            status, state = "ok", None
-            if kind is None:
-                state, deviation = advance(
-                    averages.get(row.event_type), float(seen["type_count"]), int(row.sec), self.tuning
-                )
-                averages[row.event_type] = state
-                sigma = state[1]
-                k = self.tuning.ema_k_small if sigma < 1 else self.tuning.ema_k
-                if sigma > 0 and deviation > k * sigma:
-                    kind = "ema_outlier"
-                elif seen["hour_count"] == 0:
-                    status = "error_missing_hour"
-                elif seen["hour_count"] < seen["hour_stddev"]:
-                    kind = "time_deviation"
-            if status == "ok":
-                self.store(row, bool(seen["recorded"]))
-            results.append({"anomaly": kind is not None, "anomaly_type": kind or "", "message": self._message(kind, row, seen, state), "status": status})
-        self._save()
-        self.heard(frame["sec"].iloc[-1])
-        for event_type, state in averages.items():
-            self.averages.updateValue((event_type,), state)
-        columns = ["event_id", "seq", "ts", "user_id", "session_id", "event_type"]
-        yield pd.concat([frame[columns], pd.DataFrame(results)], axis=1)
-
-    def _first_stage(self, row, seen: dict) -> str | None:
-        for field, name in (("ip", "new_ip"), ("user_agent", "new_user_agent"), ("country", "new_country")):
-            if seen[f"seen_{field}"] == 0:
-                return name
-        type_1, type_2 = seen["event_type_1"], seen["event_type_2"]
-        total_1, count_1, total_2, count_2 = self.everyone.of(type_2, type_1, row.event_type)
-        levels = [
-            (seen["visible_2"], seen["user_total_2"], seen["user_count_2"], self.tuning.min_total_user),
-            (seen["visible_1"], seen["user_total_1"], seen["user_count_1"], self.tuning.min_total_user),
-            (seen["visible_2"], total_2, count_2, self.tuning.min_total_global),
-            (seen["visible_1"], total_1, count_1, self.tuning.min_total_global),
-        ]
-        for visible, total, count, least in levels:
-            if visible and total >= least:
-                limit = 0.02 if total < 50 else 0.05 if total > 200 else max(0.01, 1 / sqrt(total))
-                return "markov_low_probability" if count / total < limit else None
-        return None
-
-    def _message(self, kind: str | None, row, seen: dict, state: tuple | None) -> str:
-        if kind is None:
-            return ""
-        if kind == "ema_outlier":
-            return f"Event frequency for {row.event_type} is {seen['type_count']}, average {state[0]:.2f}, spread {state[1]:.2f}"
-        if kind == "time_deviation":
-            return f"Activity at hour {row.hour}: {seen['hour_count']} events there, spread of hours {seen['hour_stddev']:.2f}"
-        if kind == "markov_low_probability":
-            return f"Unusual transition {seen['event_type_1']}->{row.event_type}"
-        return f"{kind.removeprefix('new_').replace('_', ' ')} never seen before"
-
-
-STRICT_SCHEMA = (
-    "event_id LONG, seq LONG, ts TIMESTAMP_NTZ, user_id LONG, session_id STRING, event_type STRING, "
-    "anomaly BOOLEAN, anomaly_type STRING, message STRING, status STRING"
-)
