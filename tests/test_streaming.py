@@ -109,6 +109,29 @@ def test_strict_mode_equals_tables(spark, topic, arrived, tmp_path):
     assert rows(store.read("strict").drop("batch_id")) == rows(table)
 
 
+@pytest.mark.parametrize("lateness,strict_mode", [(40 * 86400, False), (40 * 86400, True), (2 * 86400, True)])
+def test_late_events_count(spark, arrived, tmp_path, lateness, strict_mode):
+    """Events in four shuffled steps; what is too late for the stream is worked in afterwards."""
+    for step in range(4):
+        arrived.where(F.pmod(F.hash("event_id"), F.lit(4)) == step).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    schema = ", ".join(f"{n} {t}" for n, t in arrived.dtypes)
+
+    def start():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        verdicts = jobs.revised_verdicts(stream, arrived, TUNING, lateness, strict_mode)
+        return jobs.store_stream(verdicts, store, "v", str(tmp_path / "c"))
+
+    store = Store(spark, str(tmp_path / "out"))
+    start_again(start, tmp_path / "c")
+    streamed = jobs.current(store.read("v"))
+    late = arrived.join(streamed.where("status = 'late'").select("event_id"), "event_id", "left_semi")
+    assert streamed.count() == arrived.count()
+    assert (late.count() > 50) == (lateness < 40 * 86400)
+    everyone = strict.stored_transitions(arrived, TUNING)
+    table = strict.verdicts_of(strict.folded_history(arrived, TUNING, everyone, strict_mode), TUNING)
+    assert rows(strict.corrected(streamed, arrived, late, TUNING, everyone, strict_mode)) == rows(table)
+
+
 class CountedMap:
     """A map state that counts what is read."""
 

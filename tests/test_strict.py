@@ -91,4 +91,34 @@ def test_state_survives_as_rows():
             rows, carried = list(carried.rows()), Past(TUNING)
             for row in rows:
                 carried.take(*row)
-        assert whole.strict(e, lambda *_: (0, 0, 0, 0)) == carried.strict(e, lambda *_: (0, 0, 0, 0))
+        assert whole.check(e, lambda *_: (0, 0, 0, 0)) == carried.check(e, lambda *_: (0, 0, 0, 0))
+
+
+def test_drafts_leave_the_past_alone():
+    rng = random.Random(2)
+    past, plain = Past(TUNING), Past(TUNING)
+    for i in range(150):
+        e = {"sec": i * 5000 + (86400 * 15 if i > 100 else 0), "hour": i % 24, "event_type": rng.choice("ab"), "ip": f"i{i % 4}", "user_agent": "u", "country": "C"}
+        draft = past.draft()
+        for k in range(3):
+            draft.check(e | {"sec": e["sec"] + k * 86400 * 8, "ip": f"other{k}"}, lambda *_: (9, 1, 9, 1))
+        assert past.check(e, lambda *_: (0, 0, 0, 0)) == plain.check(e, lambda *_: (0, 0, 0, 0))
+
+
+def test_fold_without_strict_mode_equals_the_cascade(events):
+    """With all events stored, the fold gives the verdicts of the window plan."""
+    from vigil.operators.detect import stat_verdicts
+
+    folded = strict.verdicts_of(strict.folded_history(events, TUNING, strict=False), TUNING)
+    assert found(folded) == found(stat_verdicts(events, TUNING))
+
+
+def test_corrections(spark, events):
+    everyone = strict.stored_transitions(events, TUNING)
+    late = events.where("event_id % 37 = 5 AND user_id <> 3")
+    before = strict.strict_verdicts(events.join(late, "event_id", "left_anti"), TUNING, everyone)
+    want = strict.strict_verdicts(events, TUNING, everyone)
+    got = strict.corrected(before, events, late, TUNING, everyone)
+    assert found(before) != found(want)
+    assert got.count() == events.count() and found(got) == found(want)
+    assert found(strict.corrected(want, events, late.limit(0), TUNING, everyone)) == found(want)

@@ -201,7 +201,7 @@ def stat_verdicts(events: DataFrame, tuning: Tuning = Tuning(), limit: int | Non
     return verdict_rows(analyse(events, tuning, limit))
 
 
-def verdict_rows(rows: DataFrame) -> DataFrame:
+def verdict_rows(rows: DataFrame, *keep: str) -> DataFrame:
     """The verdict of each row that went through both stages."""
     second = F.col("clean")
     kind = F.coalesce(F.col("stage1_type"), F.when(second, F.col("stage2_type")))
@@ -219,6 +219,7 @@ def verdict_rows(rows: DataFrame) -> DataFrame:
         F.when(~failed, F.coalesce("_kind", F.lit(""))).alias("anomaly_type"),
         F.when(~failed, F.col("_message")).alias("message"),
         "status",
+        *keep,
     )
 
 

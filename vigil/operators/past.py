@@ -37,6 +37,27 @@ class Entries:
         self.rows.clear()
 
 
+class Draft:
+    """Entries over others that stay as they are."""
+
+    def __init__(self, below):
+        self.below, self.rows = below, {}
+
+    def get(self, key: tuple) -> tuple | None:
+        if key in self.rows:
+            return self.rows[key]
+        return None if self.below is None else self.below.get(key)
+
+    def put(self, key: tuple, value: tuple | None) -> None:
+        self.rows[key] = value
+
+    def remove(self, key: tuple) -> None:
+        self.rows[key] = None
+
+    def clear(self) -> None:
+        self.below, self.rows = None, {}
+
+
 def steps_of(before_2, before_1, current) -> tuple[tuple, ...]:
     """Keys of a transition's four counts: total and count of first order, then of second order."""
     return (
@@ -67,6 +88,12 @@ class Past:
         self.last: tuple = NOTHING
         self.hours: list[int] = [0] * 24
 
+    def draft(self) -> Past:
+        """The same past, to go on from without changing this one."""
+        out = Past(self.tuning, lambda name: Draft(self.maps[name]))
+        out.last, out.hours = self.last, list(self.hours)
+        return out
+
     # --- what was known before an event ---------------------------------------------------------------------------
 
     def _expire(self, sec: int) -> None:
@@ -145,11 +172,11 @@ class Past:
         ends.put((kind,), (first, behind, n + 1))
         self.last = (sec, kind, sec_1, type_1)
 
-    # --- strict mode ----------------------------------------------------------------------------------------------
+    # --- both stages ----------------------------------------------------------------------------------------------
 
-    def strict(self, e: dict, everyone: Callable[..., tuple[int, int, int, int]]) -> dict:
-        """All columns both stages read. The event is stored unless its hour was never seen: then it leaves no trace but
-        in the moving average, which is advanced before the hour is looked up."""
+    def check(self, e: dict, everyone: Callable[..., tuple[int, int, int, int]], strict: bool = True) -> dict:
+        """All columns both stages read, and the event is stored. In strict mode an event whose hour was never seen is not:
+        it leaves no trace but in the moving average, which is advanced before the hour is looked up."""
         seen = self.observe(e)
         seen |= zip(GLOBAL, everyone(seen["event_type_2"], seen["event_type_1"], e["event_type"]), strict=True)
         seen |= {"ema": None, "deviation": None, "sigma": None}
@@ -160,7 +187,7 @@ class Past:
             self.maps["averages"].put(key, state)
             seen |= {"ema": state[0], "deviation": deviation, "sigma": state[1]}
             k = self.tuning.ema_k_small if state[1] < 1 else self.tuning.ema_k
-            fails = seen["hour_count"] == 0 and not (state[1] > 0 and deviation > k * state[1])
+            fails = strict and seen["hour_count"] == 0 and not (state[1] > 0 and deviation > k * state[1])
         if fails:
             seen["recorded"] = 0
         else:

@@ -1,6 +1,6 @@
-"""Strict mode on tables: an event at an hour its user never had is not stored at all.
+"""The cascade as a fold over each user's events: strict mode on tables, and corrections.
 
-What is left out changes every later check of the user, so the verdicts of a user are a fold over its events. Tasks stream the
+In strict mode an event at an hour its user never had is not stored at all. What is left out changes every later check of the user, so the verdicts of a user are a fold over its events. Tasks stream the
 sorted events of their users through ``Past``. A user with more events than a block is cut into consecutive blocks; round r
 folds the r-th block of all such users, and the state after it travels to the next round as rows of a table. So no task has more
 than a block of a user and each block's result is written before the next one starts.
@@ -9,6 +9,9 @@ Transitions of all users depend on what other users left out. They are counted b
 recorded, and the fold is repeated with these counts until nothing changes: all verdicts before the first wrong one are right
 in every round, so this ends with exactly the verdicts of a replay, after a few rounds as a rule. With a fixed histogram, as in
 the stream, one fold is enough.
+
+``corrected`` takes events that a stream set aside as too late: the verdicts of their users are folded again from the first of them
+on and replace what was stored.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ from pyspark.sql.types import StructType
 from vigil.operators.detect import HISTORY_COLUMNS, stage1, stage2, verdict_rows
 from vigil.operators.history import FIRST, SECOND, USER, Tuning, global_transitions, transition_histogram
 from vigil.operators.past import GLOBAL, Past, steps_of
-from vigil.operators.series import BLOCK, by_key
+from vigil.operators.series import BLOCK, by_key, join_null_safe
 from vigil.session import intermediate_folder, materialise
 
 PARTS = 256
@@ -89,7 +92,12 @@ def stored_transitions(events: DataFrame, tuning: Tuning = Tuning()) -> StoredTr
 
 
 def _fold(
-    rows: DataFrame, tuning: Tuning, everyone: Callable | None, state: DataFrame | None = None, keep_state: bool = False
+    rows: DataFrame,
+    tuning: Tuning,
+    everyone: Callable | None,
+    strict: bool,
+    state: DataFrame | None = None,
+    keep_state: bool = False,
 ) -> DataFrame:
     """Fold events by user. ``rows`` may carry counts of all users for the types they were counted with.
 
@@ -130,7 +138,7 @@ def _fold(
                     right = counted and (before_1, before_2) == (e["assumed_1"], e["assumed_2"])
                     return tuple(e[c] or 0 for c in GLOBAL) if right else (0, 0, 0, 0)
 
-                out.append({c: e[c] for c in HISTORY_COLUMNS} | past.strict(e, known))
+                out.append({c: e[c] for c in HISTORY_COLUMNS} | past.check(e, known, strict))
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=arrow)
         if rest := leave():
@@ -140,11 +148,11 @@ def _fold(
     return rows.repartition("user_id").sortWithinPartitions(*order).mapInArrow(run, schema)
 
 
-def _folded(rows: DataFrame, tuning: Tuning, everyone: Callable | None, limit: int | None) -> DataFrame:
+def _folded(rows: DataFrame, tuning: Tuning, everyone: Callable | None, strict: bool, limit: int | None) -> DataFrame:
     """The fold over all users, oversized ones block by block; written to the shared folder."""
     state_columns = [c.split()[0] for c in STATE.split(", ")]
     parts = by_key(rows, USER, limit=limit).parts
-    found = materialise(_fold(parts[0].df, tuning, everyone).drop(*state_columns))
+    found = materialise(_fold(parts[0].df, tuning, everyone, strict).drop(*state_columns))
     if len(parts) == 1:
         return found
     blocks = parts[1].df
@@ -153,14 +161,19 @@ def _folded(rows: DataFrame, tuning: Tuning, everyone: Callable | None, limit: i
     blocks = materialise(blocks.join(F.broadcast(turns), ["user_id", BLOCK]).drop(BLOCK))
     state = None
     for turn in range(1, turns.agg(F.max("_turn")).first()[0] + 1):
-        step = materialise(_fold(blocks.where(F.col("_turn") == turn).drop("_turn"), tuning, everyone, state, keep_state=True))
+        block = blocks.where(F.col("_turn") == turn).drop("_turn")
+        step = materialise(_fold(block, tuning, everyone, strict, state, keep_state=True))
         found = found.unionByName(step.where("_map IS NULL").drop(*state_columns))
         state = step.where("_map IS NOT NULL").select("user_id", *state_columns)
     return found
 
 
-def strict_history(
-    events: DataFrame, tuning: Tuning = Tuning(), everyone: StoredTransitions | None = None, limit: int | None = None
+def folded_history(
+    events: DataFrame,
+    tuning: Tuning = Tuning(),
+    everyone: StoredTransitions | None = None,
+    strict: bool = True,
+    limit: int | None = None,
 ) -> DataFrame:
     """All columns both stages read, one row per event.
 
@@ -168,16 +181,14 @@ def strict_history(
     """
     rows = events.select(*HISTORY_COLUMNS)
     if everyone is not None:
-        return _folded(rows, tuning, everyone.of, limit)
-    found = _folded(rows, tuning, None, limit)
+        return _folded(rows, tuning, everyone.of, strict, limit)
+    found = _folded(rows, tuning, None, strict, limit)
+    same = ["event_id", "seq", FIRST, SECOND, "recorded", *GLOBAL]
     while True:
-        counted = found.drop(*GLOBAL)
-        counted = global_transitions(counted, limit, keep=True)
-        assumed = {a: F.col(c) for a, c in zip(ASSUMED, (FIRST, SECOND), strict=True)}
-        again = _folded(counted.select(*HISTORY_COLUMNS, *GLOBAL, *(c.alias(a) for a, c in assumed.items())), tuning, None, limit)
-        same = ["event_id", "seq", FIRST, SECOND, "recorded", *GLOBAL]
-        changed = again.select(*same).exceptAll(counted.select(*same))
-        if changed.isEmpty():
+        counted = global_transitions(found.drop(*GLOBAL), limit, keep=True)
+        assumed = [F.col(c).alias(a) for a, c in zip(ASSUMED, (FIRST, SECOND), strict=True)]
+        again = _folded(counted.select(*HISTORY_COLUMNS, *GLOBAL, *assumed), tuning, None, strict, limit)
+        if again.select(*same).exceptAll(counted.select(*same)).isEmpty():
             return again
         found = again
 
@@ -186,8 +197,32 @@ def strict_verdicts(
     events: DataFrame, tuning: Tuning = Tuning(), everyone: StoredTransitions | None = None, limit: int | None = None
 ) -> DataFrame:
     """One verdict per event, in the columns of ``stat_verdicts``; events that were left out have an error status."""
-    return verdicts_of(strict_history(events, tuning, everyone, limit), tuning)
+    return verdicts_of(folded_history(events, tuning, everyone, True, limit), tuning)
+
+
+def verdicts_of(rows: DataFrame, tuning: Tuning = Tuning(), *keep: str) -> DataFrame:
+    return verdict_rows(stage2(stage1(rows, tuning), tuning), *keep)
 
 
-def verdicts_of(rows: DataFrame, tuning: Tuning = Tuning()) -> DataFrame:
-    return verdict_rows(stage2(stage1(rows, tuning), tuning))
+def corrected(
+    verdicts: DataFrame,
+    events: DataFrame,
+    late: DataFrame,
+    tuning: Tuning,
+    everyone: StoredTransitions,
+    strict: bool = True,
+    limit: int | None = None,
+) -> DataFrame:
+    """``verdicts`` with those of users who have ``late`` events folded again, from the first late event on.
+
+    ``events`` are all stored events, the late ones among them. Only their users' events are read again, and a user without
+    late events keeps its rows. Both sides are matched by hash of the user; the late events are the small side.
+    """
+    since = late.groupBy("user_id").agg(F.min(F.struct("sec", "seq")).alias("_since"))
+    since = materialise(since)
+    mine = join_null_safe(events.select(*HISTORY_COLUMNS), since.select("user_id"), ["user_id"], "left_semi")
+    again = folded_history(mine, tuning, everyone, strict, limit)
+    again = join_null_safe(again, since, ["user_id"], "inner").where(F.struct("sec", "seq") >= F.col("_since"))
+    fresh = materialise(verdicts_of(again.drop("_since"), tuning))
+    stay = join_null_safe(verdicts, fresh.select("event_id", "seq"), ["event_id", "seq"], "left_anti")
+    return stay.unionByName(fresh)

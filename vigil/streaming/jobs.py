@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -99,6 +99,34 @@ def strict_verdicts(
     return strict.verdicts_of(_keyed(events, "user_id", processor, p.STRICT_SCHEMA, ttl_ms), tuning)
 
 
+def revised_verdicts(
+    events: DataFrame,
+    stored_events: DataFrame,
+    tuning: Tuning = Tuning(),
+    lateness: int = 3600,
+    strict_mode: bool = False,
+    ttl_ms: int | None = None,
+) -> DataFrame:
+    """Verdicts of events in any order of arrival, as if each had come at its time.
+
+    An event that comes at most ``lateness`` seconds behind its user's newest one gives its own verdict and, with it, new ones for
+    the events of the user after it; ``current`` takes the last of each. Later events come out with the status ``late`` and no
+    verdict, to be worked in by ``strict.corrected``. No event is lost.
+    """
+    everyone = strict.stored_transitions(stored_events, tuning)
+    processor = p.RevisedHistory(tuning, everyone, lateness, strict_mode, ttl_ms)
+    rows = _keyed(events, "user_id", processor, p.REVISED_SCHEMA, ttl_ms)
+    checked = strict.verdicts_of(rows, tuning, "late")  # one branch: two would keep the state twice
+    none = {c: F.when(~F.col("late"), F.col(c)) for c in ("anomaly", "anomaly_type", "message")}
+    return checked.withColumns(none | {"status": F.when(F.col("late"), F.lit("late")).otherwise(F.col("status"))}).drop("late")
+
+
+def current(stored: DataFrame) -> DataFrame:
+    """The last verdict of every event of a table written by ``store_stream``."""
+    newest = Window.partitionBy("event_id", "seq").orderBy(F.desc("batch_id"))
+    return stored.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank", "batch_id")
+
+
 # --- transitions of all users -----------------------------------------------------------------------------------
 
 LEVELS = {

@@ -25,6 +25,7 @@ HISTORY_SCHEMA = (
     f"event_type STRING, ip STRING, user_agent STRING, country STRING, {HISTORY}"
 )
 STRICT_SCHEMA = f"{HISTORY_SCHEMA}, {COUNTED}, {AVERAGES}"
+REVISED_SCHEMA = f"{STRICT_SCHEMA}, late BOOLEAN"
 
 BATCH_FEATURES_SCHEMA = (
     "session_id STRING, batch LONG, unique_ips LONG, unique_countries LONG, unique_agents LONG, event_count LONG, "
@@ -175,13 +176,74 @@ class StrictHistory(UserHistory):
         self.everyone = everyone
 
     def step(self, past: Past, event: dict) -> dict:
-        return past.strict(event, self.everyone.of)
+        return past.check(event, self.everyone.of)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         for frame in super().handleInputRows(key, rows, timerValues):
             yield frame.astype({c: "float64" for c in ("ema", "deviation", "sigma")})
 
 
+class RevisedHistory(UserHistory):
+    """The whole cascade in one pass over events that may come late.
+
+    Events younger than ``lateness`` seconds before the user's newest one wait in the state beside the settled past. They are checked
+    at once, on a draft of it; when an event arrives before some of them, the rows from it on come out again and replace the
+    earlier ones. Events before the settled past change nothing here: they come out with ``late`` set, for ``strict.corrected``.
+    """
+
+    PENDING = (
+        "event_id LONG, seq LONG, ts TIMESTAMP_NTZ, sec LONG, hour INT, user_id LONG, session_id STRING, event_type STRING, "
+        "ip STRING, user_agent STRING, country STRING"
+    )
+
+    def __init__(
+        self, tuning: Tuning, everyone: StoredTransitions, lateness: int, strict: bool = False, ttl_ms: int | None = None
+    ):
+        super().__init__(tuning, ttl_ms)
+        self.everyone, self.lateness, self.strict = everyone, lateness, strict
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.pending = handle.getListState("pending", self.PENDING, None)
+        self.reach = handle.getValueState("reach", "settled LONG, newest LONG", None)
+        self.all = (*self.all, self.pending, self.reach)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        names = [f.split()[0] for f in self.PENDING.split(", ")]
+        fresh = in_order(rows, "sec", "seq")[names].astype(object)
+        fresh["ts"] = [t.to_pydatetime() for t in fresh["ts"]]
+        fresh = fresh.where(fresh.notna(), None).to_dict("records")
+        settled, newest = tuple(self.reach.get()) if self.reach.exists() else (None, None)
+        late = [e | {"late": True} for e in fresh if settled is not None and e["sec"] < settled]
+        on_time = fresh[len(late) :]
+        out = late
+        if on_time:
+            newest = max(int(on_time[-1]["sec"]), newest if newest is not None else int(on_time[-1]["sec"]))
+            settled = newest - self.lateness  # never falls: newest does not
+            first = (on_time[0]["sec"], on_time[0]["seq"])
+            waiting = [dict(zip(names, row, strict=True)) for row in self.pending.get()]
+            past, draft, pending = self._past(), None, []
+            for e in sorted(waiting + on_time, key=lambda e: (e["sec"], e["seq"])):
+                if e["sec"] < settled:
+                    seen = past.check(e, self.everyone.of, self.strict)
+                else:
+                    draft = draft or past.draft()
+                    seen = draft.check(e, self.everyone.of, self.strict)
+                    pending.append(tuple(e[c] for c in names))
+                if (e["sec"], e["seq"]) >= first:
+                    out.append(e | seen | {"late": False})
+            self.last.update(past.last)
+            self.hours.update((past.hours,))
+            for entries in past.maps.values():
+                entries.save()
+            self.pending.put(pending)
+            self.reach.update((settled, newest))
+            self.heard(newest)
+        columns = [f.split()[0] for f in REVISED_SCHEMA.split(", ")]
+        frame = pd.DataFrame(out, columns=columns, dtype=object)
+        yield frame.where(frame.notna(), None).assign(ts=pd.to_datetime(frame["ts"]))
+
+
 class Averages(Silent):
     """Moving averages per user and type. Only clean events advance them; others pass with null averages."""
 
