@@ -165,6 +165,49 @@ def test_one_worker_equals_a_plain_loop(spark, events):
     assert np.allclose(model.flat(), w) and loss == pytest.approx(np.mean(losses))
 
 
+@pytest.mark.parametrize("tasks,limit", [(2, None), (16, None), (16, 30)])
+def test_synchronous_steps_equal_a_plain_loop(spark, events, tasks, limit):
+    config = tr.TrainingConfig(epochs=2, batch_size=20, learning_rate=0.01)
+    frame = feat.session_features(events)
+    scaled = feat.scaler_transform(frame, feat.Scaler.fit(frame))
+    order = F.xxhash64("session_id", F.lit(config.seed))
+    x = scaled.orderBy(order, "session_id").toPandas()[list(FEATURES)].to_numpy(float)
+    w = Autoencoder.seeded(config.seed, config.hidden).flat()
+    m, v, t, losses = np.zeros_like(w), np.zeros_like(w), 0, []
+    for _ in range(config.epochs):
+        losses = []
+        for at in range(0, len(x), 20):
+            value, g = Autoencoder.from_flat(w, config.hidden).loss_and_gradient(x[at : at + 20])
+            t += 1
+            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g**2
+            w = w - config.learning_rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+            losses.append(value)
+    model, loss = tr.train_in_steps(scaled.repartition(tasks), config, limit=limit)
+    assert len(x) > 60
+    assert np.allclose(model.flat(), w, atol=1e-9) and loss == pytest.approx(np.mean(losses))
+    with pytest.raises(ValueError):
+        tr.train_in_steps(scaled.where("false"), config)
+
+
+def test_gradient_is_that_of_any_number_of_tasks(spark, events):
+    frame = feat.session_features(events)
+    scaled = feat.scaler_transform(frame, feat.Scaler.fit(frame))
+    model = Autoencoder.seeded(4)
+    loss, want = model.loss_and_gradient(scaled.toPandas()[list(FEATURES)].to_numpy(float))
+    for tasks in (1, 3, 16):
+        got = [r["value"] for r in sorted(tr.loss_gradient(scaled.repartition(tasks), model).collect())]
+        assert np.allclose(got[:-1], want, atol=1e-12) and got[-1] == pytest.approx(loss)
+
+
+def test_workers_follow_from_the_rows(spark, events):
+    frame = feat.session_features(events)
+    scaled = feat.scaler_transform(frame, feat.Scaler.fit(frame))
+    named = tr.train(scaled, tr.TrainingConfig(epochs=1, workers=1))[0]
+    assert np.array_equal(tr.train(scaled, tr.TrainingConfig(epochs=1))[0].flat(), named.flat())
+    many = tr.TrainingConfig(epochs=1, rows_per_worker=-(-scaled.count() // 3))
+    assert np.array_equal(tr.train(scaled, many)[0].flat(), tr.train(scaled, tr.TrainingConfig(epochs=1, workers=3))[0].flat())
+
+
 def test_split_is_repeatable(events):
     frame = feat.session_features(events)
     assert rows(tr.train_test_split(frame)) == rows(tr.train_test_split(frame.repartition(3)))

@@ -77,6 +77,33 @@ def _network(source: str) -> str:
     return f"SELECT * EXCLUDE (y0, y1, y2, y3, y4), y4 AS rebuilt FROM ({sql})"
 
 
+def _gradient(source: str) -> str:
+    """Gradient of the mean loss over the rows of ``source``, parameter by parameter in the order of the flattened model."""
+    model = fixed_model()
+    sql, inputs = f"SELECT x AS y0 FROM {source}", "y0"
+    for i, (w, b, rectified) in enumerate(zip(model.weights, model.biases, (True, False, True, False))):
+        sql = f"SELECT *, {_layer(inputs, w, b, rectified)} AS y{i + 1} FROM ({sql})"
+        inputs = f"y{i + 1}"
+    sql = f"SELECT *, list_transform(list_zip(y4, y0), lambda p: 2 * (p[1] - p[2]) / 8) AS d4 FROM ({sql})"
+    for layer in (3, 2, 1):  # what reaches a layer's outputs, from the layer above
+        w = model.weights[layer]
+        back = _layer(f"d{layer + 1}", w.T, np.zeros(len(w)), False)
+        if layer in (3, 1):
+            back = f"list_transform(list_zip({back}, y{layer}), lambda p: CASE WHEN p[2] > 0 THEN p[1] ELSE 0 END)"
+        sql = f"SELECT *, {back} AS d{layer} FROM ({sql})"
+    parts, at = [], 0
+    for layer, w in enumerate(model.weights):
+        rows, columns = w.shape
+        ends = f"list_append(y{layer}, 1.0::DOUBLE)"  # the last row holds the biases
+        parts.append(
+            f"SELECT {at} + i * {columns} + j AS position, sum({ends}[i + 1] * d{layer + 1}[j + 1]) / count(*) AS value "
+            f"FROM net, range({rows + 1}) r(i), range({columns}) c(j) GROUP BY ALL"
+        )
+        at += (rows + 1) * columns
+    parts.append(f"SELECT {at}, avg(list_sum(list_transform(list_zip(y4, y0), lambda p: (p[1] - p[2]) ** 2)) / 8) FROM net")
+    return f"WITH net AS ({sql}) " + " UNION ALL ".join(parts)
+
+
 LOSS = "list_sum(list_transform(list_zip(x, rebuilt), lambda p: (p[1] - p[2]) ** 2)) / 8"
 BUCKET = "CAST('0x' || substr(md5({0}), 1, 8) AS BIGINT)"
 SCALED = ", ".join(f"({f} - {f}_mean) / {f}_scale" for f in FEATURES)
@@ -644,6 +671,13 @@ sql(
     "SELECT user_id, session_id, timestamp, anomaly, event_count, unique_events, source FROM ml",
 )
 sql("train_test_split", "sf", f"SELECT session_id, {BUCKET.format('session_id')} % 100 < 80 AS is_train FROM sf")
+sql(
+    "ae_gradient",
+    "sx",
+    "SELECT CAST(position AS BIGINT) AS position, round(value, 7) AS value FROM ("
+    + _gradient(f"(SELECT * FROM sx WHERE {BUCKET.format('session_id')} % 100 < 80)")
+    + ")",
+)
 sql(
     "loss_threshold",
     "metrics",

@@ -560,6 +560,14 @@ def ae_train(ev: DataFrame) -> DataFrame:
     return ev.sparkSession.createDataFrame([tuple(trained.metrics.values())], list(trained.metrics))
 
 
+@query("ae_gradient")
+def ae_gradient(ev: DataFrame) -> DataFrame:
+    """One synchronous step's gradient over all training sessions, and their loss behind the last parameter."""
+    scaled = feat.scaler_transform(feat.session_features(ev), fitted_scaler(ev))
+    gradient = tr.loss_gradient(tr.train_test_split(scaled).where("is_train"), fixed_model())
+    return gradient.select("position", F.round("value", 7).alias("value"))
+
+
 @query("loss_threshold")
 def loss_threshold(ev: DataFrame) -> DataFrame:
     return tr.evaluate(held_out_losses(ev)).select(rounded("test_loss"), rounded("threshold"), "batches")
