@@ -743,6 +743,15 @@ sql(
 EVENT = "event_id, user_id, event_type, ts, ip, user_agent, country, session_id"
 sql("event_by_id", "ev", f"SELECT {EVENT} FROM ev WHERE event_id = 77")
 sql("events_by_user", "ev", f"SELECT {EVENT} FROM ev WHERE user_id = 7 ORDER BY ts DESC, event_id DESC LIMIT 20")
+sql("clustered_events_by_user", "ev", f"SELECT {EVENT} FROM ev WHERE user_id = 7 ORDER BY ts DESC, event_id DESC LIMIT 20")
+sql("clustered_event_by_id", "ev", f"SELECT {EVENT} FROM ev WHERE event_id = 77")
+sql("clustered_session", "ev", f"SELECT {EVENT} FROM ev WHERE session_id = '7-2818'")
+sql(
+    "retention_versions",
+    "ev",
+    "SELECT event_id AS id, user_id, ts AS timestamp, ts >= TIMESTAMP '2024-01-24' AS kept FROM ev",
+)
+sql("upsert_seen_buckets", "", "SELECT user_id AS id, min(ts) AS created_at, max(ts) AS last_seen FROM events GROUP BY 1")
 sql("latest_events", "ev", f"SELECT {EVENT} FROM ev ORDER BY ts DESC, event_id DESC LIMIT 50")
 sql(
     "events_between",

@@ -33,7 +33,7 @@ from vigil.plans.results import (
 )
 from vigil.schemas import FEATURES
 from vigil.session import intermediate_folder
-from vigil.sources import stores, topics
+from vigil.sources import stores, topics, versions
 from vigil.sources.canon import event_records, load_canonical
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,7 @@ USER_ID = 7
 EVENT_ID = 77
 SESSION_ID = "7-2818"
 LAST_TRAINED_ID = 500
+EVENT = ("event_id", "user_id", "event_type", "ts", "ip", "user_agent", "country", "session_id")
 
 
 def query(name: str):
@@ -169,6 +170,52 @@ def upsert_users_seen(ev: DataFrame) -> DataFrame:
     return store.upsert_seen("seen_1", "seen_2", ev.where(F.col("ts") >= F.lit(SPLIT_AT)))
 
 
+RAW = (
+    "id LONG, user_id LONG, event_type STRING, timestamp TIMESTAMP_NTZ, ip STRING, user_agent STRING, country STRING, "
+    "metadata STRING, additional STRING, created_at TIMESTAMP_NTZ, session_id STRING"
+)
+LOOKUPS = "event_id LONG, user_id LONG, event_type STRING, ts TIMESTAMP_NTZ, ip STRING, user_agent STRING, country STRING, session_id STRING"
+BUCKETS = 16
+
+
+@query("retention_versions")
+def retention_versions(ev: DataFrame) -> DataFrame:
+    """What a reader of the version before and one of the version after the retention see."""
+    table = versions.Versioned.by_day(ev.sparkSession, f"{new_store(ev).folder}/raw", RAW, "timestamp")
+    before = table.append(stores.raw_event_rows(additional(ev))).read()
+    after = versions.retain(table, "timestamp", AS_OF).read()
+    return before.join(after.select("id", F.lit(True).alias("kept")), "id", "left").select(
+        "id", "user_id", "timestamp", F.coalesce("kept", F.lit(False)).alias("kept")
+    )
+
+
+@query("upsert_seen_buckets")
+def upsert_seen_buckets(ev: DataFrame) -> DataFrame:
+    table = versions.Versioned.by_hash(ev.sparkSession, f"{new_store(ev).folder}/seen", versions.SEEN, "id", BUCKETS)
+    versions.merge_seen(table, ev.where(F.col("ts") < F.lit(SPLIT_AT)))
+    return versions.merge_seen(table, ev.where(F.col("ts") >= F.lit(SPLIT_AT))).read()
+
+
+def clustered(ev: DataFrame, key: str, *bloom: str) -> versions.Snapshot:
+    folder = f"{new_store(ev).folder}/{key}"
+    return versions.Versioned.by_hash(ev.sparkSession, folder, LOOKUPS, key, BUCKETS, ("ts",), bloom=bloom).append(ev)
+
+
+@query("clustered_events_by_user")
+def clustered_events_by_user(ev: DataFrame) -> DataFrame:
+    return look.events_by_user(clustered(ev, "user_id").lookup(USER_ID), USER_ID, 20).select(*EVENT)
+
+
+@query("clustered_event_by_id")
+def clustered_event_by_id(ev: DataFrame) -> DataFrame:
+    return look.event_by_id(clustered(ev, "user_id", "event_id").read(), EVENT_ID).select(*EVENT)
+
+
+@query("clustered_session")
+def clustered_session(ev: DataFrame) -> DataFrame:
+    return clustered(ev, "session_id").lookup(SESSION_ID).select(*EVENT)
+
+
 # --- validation and routing -------------------------------------------------------------------------------------
 
 
@@ -644,9 +691,6 @@ def latest_stat_of_session(r: Results) -> DataFrame:
     return rows.select("session_id", "timestamp", "event_type", "anomaly", "anomaly_type")
 
 
-EVENT = ("event_id", "user_id", "event_type", "ts", "ip", "user_agent", "country", "session_id")
-
-
 @query("event_by_id")
 def event_by_id(ev: DataFrame) -> DataFrame:
     return look.event_by_id(ev, EVENT_ID).select(*EVENT)
