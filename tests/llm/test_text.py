@@ -4,6 +4,7 @@ import gzip
 import random
 import uuid
 import zlib
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -151,6 +152,22 @@ def test_no_labels_and_no_letters(spark, trained):
     assert found[5]["lang_pred"] != "und"
 
 
+def test_languages_of_long_texts_only_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_CHARS", 200)
+    xx, es = "qwk zrt vbn plk mnj ", "el perro come en la casa "
+    rows = [(i, (xx * 60)[i:], "xx") for i in range(20)] + [(100 + i, es * 3, "es") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs)
+    assert model.langs == ("es", "xx")
+    found = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs, model).collect()}
+    assert found == {i: lang for i, _, lang in rows}
+
+
+def test_a_corpus_without_labels_stays(spark):
+    docs = spark.createDataFrame([(1, "some text", None), (2, None, None)], "doc_id long, text string, lang string")
+    assert sorted(r["doc_id"] for r in language.accepted(docs).collect()) == [1, 2]
+
+
 def test_sample_has_every_language_at_any_size(spark, monkeypatch):
     monkeypatch.setattr(language, "fit", lambda texts, labels: list(zip(labels, texts, strict=True)))
     docs = spark.range(2_000_000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "if(id % 1000 = 0, 'de', 'en') AS lang")
@@ -236,6 +253,13 @@ def test_seeds_vary_and_decode_losslessly(spark):
 # --- licences, URLs, preference pairs ---------------------------------------------------------------------------------
 
 
+def test_padded_licence_sentences(spark):
+    gap = " " * 600
+    texts = [f"Released{gap}under{gap}the{gap}MIT{gap}License.", "x\n" + "*" * 3000 + " Licensed under CC BY 4.0. " + "*" * 3000, "-" * 5000 + "Licensed under the MIT License."]
+    found = licences.licences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert [r["licences"] for r in sorted(found.collect())] == ["MIT", "CC-BY-4.0", "MIT"]
+
+
 def test_licences(spark):
     def wrapped(ids, width=60):
         out, line = [], ""
@@ -380,7 +404,7 @@ def test_round_trip_ranges_and_predicates(spark, folder):
     html = ["x" * 1500, "y" * 999, "", None, "x" * 1500, "WARC/1.1\r\n\r\n" * 200, "é" * 800, "y" * 999]
     rows = [(i, None if i == 2 else f"http://h{i % 3}.org/a b\r\n{i}", h) for i, h in enumerate(html)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
-    warc.write_warc(warc.page_records(df), folder)
+    warc.write_warc(warc.page_records(df), folder, mark=1)
     for size in (100, 1000, 1 << 20):
         found = {r["record_id"]: r for r in warc.read_warc(spark, folder, range=size).collect()}
         assert len(found) == len(rows)
@@ -416,9 +440,39 @@ def test_archives_of_other_writers(spark, tmp_path):
 
 
 def test_lost_tasks_leave_no_records(tmp_path):
-    options = {"path": str(tmp_path / "w")}
+    writer = warc.WarcWriter({"path": str(tmp_path / "w")})
     batch = pa.RecordBatch.from_pylist([{"record_id": "<urn:1>", "record_type": "response", "payload": b"x"}])
-    first, again = warc.WarcWriter(options).write(iter([batch])), warc.WarcWriter(options).write(iter([batch]))
+    first, again = writer.write(iter([batch])), writer.write(iter([batch]))
     assert first.path != again.path
-    warc.WarcWriter(options).commit([again])
-    assert len(list((tmp_path / "w").rglob("*.gz"))) == 1
+    writer.commit([again])
+    assert len(list((tmp_path / "w").rglob("*.gz"))) == len(list((tmp_path / "w").rglob("*.offsets"))) == 1
+
+
+@pytest.mark.parametrize("level", [0, 4])
+def test_archives_inside_payloads(spark, folder, level):
+    """Embedded members look like records, and none of them is one."""
+    noise = np.random.default_rng(5).bytes
+    inner = b"".join(warc.record({"record_id": f"<urn:inner:{i}>", "record_type": "response", "payload": noise(300)}, 0) for i in range(40))
+    rows = [(f"<urn:{i}>", "response", inner if i % 2 else noise(5000)) for i in range(6)]
+    warc.write_warc(spark.createDataFrame(rows, "record_id string, record_type string, payload binary").coalesce(1), folder, level=level, mark=1)
+    for size in (50, 700, 9000, 1 << 22):
+        found = warc.read_warc(spark, folder, range=size).collect()
+        assert sorted((r["record_id"], bytes(r["payload"])) for r in found) == [(i, p) for i, _, p in rows]
+
+
+def test_appends_at_once(spark, folder):
+    def append(k):
+        rows = [(f"<urn:{k}:{i}>", "response", b"x" * 50) for i in range(200)]
+        warc.write_warc(spark.createDataFrame(rows, "record_id string, record_type string, payload binary").repartition(4), folder)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(append, range(3)))
+    assert warc.read_warc(spark, folder).select("record_id").distinct().count() == 600
+
+
+def test_members_with_names_and_comments(spark, tmp_path):
+    body = b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:1>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    plain = gzip.compress(body, mtime=0)
+    named = plain[:3] + bytes([8 | 16 | 2]) + plain[4:10] + b"a.warc\0" + b"a comment\0" + b"\1\2" + plain[10:]
+    (tmp_path / "a.warc.gz").write_bytes(named + plain)
+    assert [bytes(r["payload"]) for r in warc.read_warc(spark, str(tmp_path)).collect()] == [b"abc", b"abc"]

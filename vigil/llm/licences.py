@@ -123,9 +123,7 @@ KNOWN = {max((normal(part) for part in re.split(LINE, text + " ")), key=len): na
 def _identifiers(text: Column, cut: str) -> Column:
     """The identifiers of the known sentences in order, as one string with a bar on either side of each."""
     names = F.create_map(*(F.lit(x) for pair in KNOWN.items() for x in pair))
-    longest = max(map(len, KNOWN))
-    short = F.filter(F.split(text, cut), lambda s: F.length(s).between(3, 3 * longest))
-    plain = F.transform(short, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
+    plain = F.transform(F.split(text, cut), lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
     known = F.transform(F.filter(plain, lambda s: s.isin(*KNOWN)), lambda s: F.element_at(names, s))
     return F.concat(F.lit("|"), F.array_join(F.transform(known, lambda s: F.concat(s, F.lit("|"))), "|"))
 
