@@ -1,14 +1,14 @@
 """WARC archives as a PySpark data source: ``spark.dataSource.register(WarcSource)``, then format ``warc``.
 
-Reading. Partitions are byte ranges of the archives; a range takes the records that begin in it, found by the mark of a gzip
-member that opens with a WARC header. Headers are read first. Predicates on the record type and on other headers are taken
+Reading. Partitions are byte ranges of the archives; a range takes the records that begin in it. Where records begin is read from
+the offsets this writer leaves beside each archive: payloads may hold archives themselves, so the bytes alone cannot tell.
+Archives without offsets, and uncompressed ``.warc`` files, are one range each. Headers are read first. Predicates on the record type and on other headers are taken
 over from the plan (``spark.sql.python.filterPushdown.enabled``), and a record that fails them, or any record when the option
 ``payload`` is ``false``, is stepped over: archives of this writer name each member's length in an extra field of its gzip
 header, so nothing behind the WARC header is unpacked. Archives of other writers are unpacked and thrown away instead.
-Uncompressed ``.warc`` files are read as one range each.
 
-Writing. Each task writes one archive, each record one gzip member, under a name of its own; only the files of committed
-tasks are moved to their place, so lost or repeated tasks leave no records.
+Writing. Each task writes one archive, each record one gzip member, under a name of its own in a folder of the
+job; only the files of committed tasks are moved to their place, so lost or repeated tasks leave no records and jobs do not meet.
 
 Folders are URIs or paths that pyarrow opens. Defined results: a null URL leaves its header out, a null payload is empty,
 control characters and spaces in a header value are percent-encoded; an empty table writes no records; a truncated or foreign record
@@ -18,6 +18,7 @@ raises an error.
 from __future__ import annotations
 
 import base64
+import bisect
 import struct
 import uuid
 import zlib
@@ -47,6 +48,8 @@ HEADERS = {
 }
 DATE = "2024-01-01T00:00:00Z"
 RANGE = 64 << 20
+MARK = 1 << 16
+OFFSETS = ".offsets"
 SMALLEST_SHARED = 1000
 _BLOCK = 1 << 18
 
@@ -81,7 +84,7 @@ class _Member:
 
     def __init__(self, file: _File, at: int):
         head = file.read(at, 12)
-        if len(head) < 12 or head[:3] != b"\x1f\x8b\x08" or head[3] & ~4:
+        if len(head) < 12 or head[:3] != b"\x1f\x8b\x08" or head[3] & 0xE0:
             raise ValueError(f"no gzip member of a WARC record at byte {at}")
         self.file, self.begin, self.length, self.data = file, at, 0, b""
         self.at = at + 10
@@ -94,6 +97,13 @@ class _Member:
                 if extra[:2] == b"sl" and n == 8:
                     self.length = struct.unpack("<II", extra[4:12])[0]
                 extra = extra[4 + n :]
+        for _ in range(bool(head[3] & 8) + bool(head[3] & 16)):  # a name, a comment
+            while (byte := file.read(self.at, 1)) != b"\0":
+                if not byte:
+                    raise ValueError(f"record at byte {at} is cut off")
+                self.at += 1
+            self.at += 1
+        self.at += head[3] & 2  # a checksum of the header
         self.unpack = zlib.decompressobj(-15)
 
     def more(self, most: int = 0) -> bytes:
@@ -185,11 +195,12 @@ class WarcReader(DataSourceReader):
     def partitions(self):
         fs, root = pafs.FileSystem.from_uri(self.folder)
         infos = fs.get_file_info(pafs.FileSelector(root, recursive=True)) if fs.get_file_info(root).type == pafs.FileType.Directory else [fs.get_file_info(root)]
+        marked = {info.path for info in infos if info.path.endswith(OFFSETS)}
         out = []
         for info in infos:
             if info.type != pafs.FileType.File or not info.base_name.endswith((".warc", ".warc.gz")) or "/_temporary/" in info.path:
                 continue
-            step = self.range if info.path.endswith(".gz") else max(1, info.size)
+            step = self.range if info.path + OFFSETS in marked else max(1, info.size)
             out += [Range(info.path, at, min(at + step, info.size)) for at in range(0, info.size, step)]
         return out or [Range("", 0, 0)]
 
@@ -200,26 +211,16 @@ class WarcReader(DataSourceReader):
                 return False
         return True
 
-    def _first(self, file: _File, begin: int, end: int) -> int:
-        """Where the first record of a range begins."""
-        if begin == 0:
-            return 0
-        at = begin
-        while at < end:
-            window = file.read(at, min(_BLOCK, end - at) + 2)
-            hit = window.find(b"\x1f\x8b\x08")
-            if hit < 0:
-                at += max(1, len(window) - 2)
-                continue
-            try:
-                _Member(file, at + hit).header()
-                return at + hit
-            except (ValueError, zlib.error):
-                at += hit + 1
-        return end
+    def _borders(self, fs: pafs.FileSystem, part: Range, size: int) -> tuple[int, int]:
+        """The first record of a range and of what lies behind it."""
+        if part.begin == 0 and part.end >= size:
+            return 0, size
+        with fs.open_input_stream(part.path + OFFSETS, compression=None) as stream:
+            offsets = [*map(int, stream.read().split()), size]
+        return offsets[bisect.bisect_left(offsets, part.begin)], offsets[bisect.bisect_left(offsets, part.end)]
 
     def _compressed(self, file: _File, begin: int, end: int) -> Iterator[dict]:
-        at = self._first(file, begin, end)
+        at = begin
         while at < end:
             member = _Member(file, at)
             values = _values(member.header())
@@ -258,7 +259,7 @@ class WarcReader(DataSourceReader):
             return
         fs, _ = pafs.FileSystem.from_uri(self.folder)
         file = _File(fs, partition.path)
-        rows = self._compressed(file, partition.begin, partition.end) if partition.path.endswith(".gz") else self._plain(file)
+        rows = self._compressed(file, *self._borders(fs, partition, file.size)) if partition.path.endswith(".gz") else self._plain(file)
         schema = pa.schema([(c, pa.int64() if c == "payload_bytes" else pa.string()) for c in HEADERS] + [("payload", pa.binary())])
         held, size = [], 0
         for row in rows:
@@ -302,21 +303,27 @@ def record(row: dict, level: int = 4) -> bytes:
 
 class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
-        self.folder, self.level = options["path"], int(options.get("level", 4))
+        self.folder, self.level, self.mark = options["path"], int(options.get("level", 4)), int(options.get("mark", MARK))
+        self.job = uuid.uuid4().hex
 
     def write(self, iterator):
         fs, root = pafs.FileSystem.from_uri(self.folder)
-        fs.create_dir(f"{root}/_temporary", recursive=True)
-        path = f"{root}/_temporary/{uuid.uuid4().hex}.warc.gz"
-        n = 0
+        fs.create_dir(f"{root}/_temporary/{self.job}", recursive=True)
+        path = f"{root}/_temporary/{self.job}/{uuid.uuid4().hex}.warc.gz"
+        at, offsets = 0, [0]
         with fs.open_output_stream(path, compression=None) as out:
             for batch in iterator:
                 for row in batch.to_pylist():
-                    out.write(record(row, self.level))
-                    n += 1
-        if not n:
+                    if at - offsets[-1] >= self.mark:
+                        offsets.append(at)
+                    packed = record(row, self.level)
+                    out.write(packed)
+                    at += len(packed)
+        if not at:
             fs.delete_file(path)
             return Written("")
+        with fs.open_output_stream(path + OFFSETS, compression=None) as out:
+            out.write("\n".join(map(str, offsets)).encode())
         return Written(path)
 
     def commit(self, messages):
@@ -324,13 +331,14 @@ class WarcWriter(DataSourceArrowWriter):
         fs.create_dir(root, recursive=True)
         for m in messages:
             if m is not None and m.path:
-                fs.move(m.path, f"{root}/{m.path.rsplit('/', 1)[1]}")
+                for path in (m.path + OFFSETS, m.path):  # an archive never stands without its offsets
+                    fs.move(path, f"{root}/{path.rsplit('/', 1)[1]}")
         self.abort([])
 
     def abort(self, messages):
         fs, root = pafs.FileSystem.from_uri(self.folder)
-        if fs.get_file_info(f"{root}/_temporary").type == pafs.FileType.Directory:
-            fs.delete_dir(f"{root}/_temporary")
+        if fs.get_file_info(f"{root}/_temporary/{self.job}").type == pafs.FileType.Directory:
+            fs.delete_dir(f"{root}/_temporary/{self.job}")
 
 
 class WarcSource(DataSource):
