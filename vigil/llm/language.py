@@ -243,10 +243,12 @@ def _least(labelled: DataFrame, each: int) -> list[tuple[str, str]]:
 def train(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = MOST_ROWS) -> Model:
     """Fit on a bounded sample of the labelled rows outside the held-out fifth, evenly over languages."""
     labelled = df.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter(
-        (F.pmod(F.crc32(F.col("id").cast("string")), F.lit(5)) != 0)
-        & F.col("lang").isNotNull()
-        & F.length("text").between(1, MOST_CHARS)
+        (F.pmod(F.crc32(F.col("id").cast("string")), F.lit(5)) != 0) & F.col("lang").isNotNull() & (F.length("text") > 0)
     )
+    # A longer text gives a stretch of this length from a place drawn by its hash, so that no language is lost.
+    spare = F.length("text") - MOST_CHARS
+    begin = F.pmod(F.xxhash64("id", "text"), spare + 1).cast("int") + 1
+    labelled = labelled.withColumn("text", F.when(spare > 0, F.substring("text", begin, F.lit(MOST_CHARS))).otherwise(F.col("text")))
     counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return Model((), np.zeros((1, 0)), np.zeros((0, 0)), np.zeros(0))
@@ -334,8 +336,13 @@ def label_words(df: DataFrame, model: Model, id: str = "doc_id", text: str = "te
 
 
 def accepted(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``df`` whose text has a recognised language, all columns; texts without letters and doubtful ones go."""
+    """The rows of ``df`` whose text has a recognised language, all columns; texts without letters and doubtful ones go.
+
+    Where no row has a label there is nothing to judge by, and all rows stay.
+    """
     model = train(df, id, text, lang)
+    if not model.langs:
+        return df
     names = df.columns
     kept = df.select(F.struct(*(df[c] for c in names)).alias("row"))
     schema, at = kept.schema, names.index(text)
