@@ -670,6 +670,14 @@ sql(
     "ml",
     "SELECT user_id, session_id, timestamp, anomaly, event_count, unique_events, source FROM ml",
 )
+sql("session_features_merged", "sf", f"SELECT session_id, user_id, {PLAIN}, round(avg_hour, 6) AS avg_hour FROM sf")
+sql(
+    "minute_rollup",
+    "ev",
+    "SELECT date_trunc('minute', ts) AS time, count(*) AS total_events, count(*) FILTER (event_type = 'login') AS logins, "
+    "count(*) FILTER (event_type = 'payment') AS payments, count(*) FILTER (event_type = 'failed_login') AS failed_logins "
+    "FROM ev WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-22' GROUP BY 1",
+)
 sql("train_test_split", "sf", f"SELECT session_id, {BUCKET.format('session_id')} % 100 < 80 AS is_train FROM sf")
 sql(
     "ae_gradient",

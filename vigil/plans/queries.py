@@ -19,8 +19,10 @@ from vigil.operators import fusion as fus
 from vigil.operators import history as h
 from vigil.operators import lookups as look
 from vigil.operators import model as mod
+from vigil.operators import rollups as roll
 from vigil.operators import strict
 from vigil.operators import training as tr
+from vigil.operators.sessions import SessionTables
 from vigil.plans.results import (
     IDLE,
     TUNING,
@@ -607,6 +609,27 @@ def ae_train(ev: DataFrame) -> DataFrame:
     return ev.sparkSession.createDataFrame([tuple(trained.metrics.values())], list(trained.metrics))
 
 
+@query("session_features_merged")
+def session_features_merged(ev: DataFrame) -> DataFrame:
+    """Features from stored states: of the events before a moment first, then of those after it."""
+    tables = SessionTables(ev.sparkSession, f"{new_store(ev).folder}/sessions", BUCKETS)
+    tables.merge(ev.where(F.col("ts") < F.lit(SPLIT_AT)))
+    tables.merge(ev.where(F.col("ts") >= F.lit(SPLIT_AT)))
+    return tables.features().select("session_id", "user_id", *_feature_columns())
+
+
+@query("minute_rollup")
+def minute_rollup(ev: DataFrame) -> DataFrame:
+    """Dashboard counts from partial minute counts of two batches that share minutes."""
+    store = new_store(ev)
+    sink = roll.minutes_sink(store)
+    for batch in (0, 1):
+        sink(ev.where(F.col("event_id") % 2 == batch), batch)
+    kind = F.col("event_type")
+    counts = {"total_events": None, "logins": kind == "login", "payments": kind == "payment", "failed_logins": kind == "failed_login"}
+    return roll.from_minutes(roll.rolled_up(store, "minutes", "by_day"), counts, RANGE)
+
+
 @query("ae_gradient")
 def ae_gradient(ev: DataFrame) -> DataFrame:
     """One synchronous step's gradient over all training sessions, and their loss behind the last parameter."""
