@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from vigil.operators.contracts import encode, keyed
+from vigil.sources.logs import Log
 
 EVENTS, STAT_OUT, ML_OUT = "events", "stat_out", "ml_out"
 
@@ -73,7 +74,7 @@ class Folder:
         return records.writeStream.format("parquet").option("path", f"{self.root}/{topic}")
 
 
-Topics = Broker | Folder
+Topics = Broker | Folder | Log
 
 
 def publish_events(records: DataFrame) -> DataFrame:
