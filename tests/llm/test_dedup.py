@@ -1,10 +1,12 @@
 """Exact and near duplicates, components and repeated passages against brute force."""
 
 import random
+import sys
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from vigil.llm import exact, graph, near, repeats, words
@@ -145,8 +147,24 @@ def brute_repeats(rows, size):
     return sorted(((i, len(w), len(g), b" ".join(x for k, x in enumerate(w) if k not in g).decode()) for (i, _), w, g in zip(rows, lists, gone, strict=True)), key=repr)
 
 
+def _with_equal_hashes(column, size, anchor):
+    """Paths of a process in which all words have the same rolling hash."""
+    from vigil.llm import repeats as there
+
+    own = there.word_hashes
+    there.word_hashes = lambda data, begins, ends: np.full(len(begins), 7, np.uint64)
+    try:
+        return there.paths(column, size, anchor)
+    finally:
+        there.word_hashes = own
+
+
+@pytest.mark.parametrize("collide", [False, True])
 @pytest.mark.parametrize(("size", "anchor", "letters"), [(6, 2, 3), (12, 4, 6), (35, 8, 400)])
-def test_repeats(spark, size, anchor, letters):
+def test_repeats(spark, monkeypatch, size, anchor, letters, collide):
+    if collide:
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+        monkeypatch.setattr(repeats, "paths", _with_equal_hashes)
     pick = random.Random(size)
     vocabulary = [f"v{i}" for i in range(letters)]
     shared = [pick.choices(vocabulary, k=size + pick.randrange(3 * size)) for _ in range(6)]
@@ -165,6 +183,14 @@ def test_repeats(spark, size, anchor, letters):
         assert sum(s["end"] - s["begin"] for s in r["spans"]) == r["n_removed"]
 
 
+def test_digests_are_of_the_words_at_their_places():
+    data, offsets = words.byte_rows(pa.array(["a b c", "xa\t b\n\nc", "b c", "bc a b c"]))
+    begins, ends, _ = words.word_bounds(data, offsets)
+    first = np.array([0, 3, 1, 6, 9, 8])
+    found = [tuple(x) for x in repeats.digests(data, begins, ends, first, first + [2, 2, 1, 1, 2, 2]).tolist()]
+    assert found[0] == found[4] and found[2] == found[3] and len(set(found)) == 4
+
+
 def test_words_at_row_borders():
     data, offsets = words.byte_rows(pa.array(["ab", "cd e", None, "", " f\x85g ", "h"]))
     begins, ends, first = words.word_bounds(data, offsets)

@@ -23,6 +23,16 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete a table of ``stored`` from which nothing is read any more: all that came of it is written, too."""
+    files = df.inputFiles()
+    if not files:
+        return
+    context = df.sparkSession.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 BATCH_BYTES = "8m"
 
 

@@ -12,7 +12,9 @@ The token k-mers (``size`` consecutive words) are the edges; edges that occur tw
 4. Coordinates. Repeated paths and edges return to the documents by place; there they join to spans of words, and the text
    itself gives the words that stay.
 
-Steps 3 and 4 read the documents from the same exchange. A path's identity is anchor and content, 128 bits.
+Steps 3 and 4 read the documents from the same exchange. Rolling hashes only choose anchors, so that two of them being equal
+costs time and never a word. What repeats is decided by the words at the coordinates of a path or an edge: 128 bits of their
+BLAKE2b digest, the words joined by single spaces.
 
 Words are ``[^\\x20\\x09-\\x0D]+``, unchanged. Defined results: null or empty texts and texts of fewer than ``size`` words
 have no edges; rows that repeat are different places; ids may repeat or be null; an empty table gives an empty result; other
@@ -22,19 +24,21 @@ columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import arrow_map, documents, stored
-from vigil.llm.words import U, byte_rows, slices, span_hashes, window_hashes, word_bounds, word_hashes
+from vigil.llm.common import arrow_map, documents, dropped, stored
+from vigil.llm.words import U, byte_rows, slices, spaced_words, window_hashes, word_bounds, word_hashes
 
 SIZE = 35
 ANCHOR = 8
 KEY = ["k1", "k2"]
-PATH = "k1 bigint, k2 int, s int, n int, anchor bigint, path bigint"
+CONTENT = ["c1", "c2"]
+PATH = "k1 bigint, k2 int, s int, n int, anchor bigint, c1 bigint, c2 bigint"
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -47,24 +51,27 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(have[: len(have) - rest], have[rest:]) if rest else have
 
 
-def _edges(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes of a column's rows, the words before each row, and whether an edge begins at a word."""
+def digests(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Two 64-bit halves of the digest of the words ``first`` to ``last``, both included; white space does not count."""
+    text, at = spaced_words(data, begins, ends)
+    view = memoryview(text)
+    bounds = zip(at[first].tolist(), (at[last] + ends[last] - begins[last]).tolist(), strict=True)
+    made = b"".join([blake2b(view[b:e], digest_size=16).digest() for b, e in bounds])
+    return np.frombuffer(made, np.int64).reshape(-1, 2)
+
+
+def paths(column: pa.Array, size: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Row, first word, number of edges, anchor hash and content digest (two values) of each path of a column."""
     data, offsets = byte_rows(column)
     begins, ends, first = word_bounds(data, offsets)
     starts = np.zeros(len(begins) + 1, np.int64)
     whole = np.diff(first) >= size
     np.add.at(starts, first[:-1][whole], 1)
     np.add.at(starts, first[1:][whole] - size + 1, -1)
-    return word_hashes(data, begins, ends), first, np.cumsum(starts[:-1]) > 0
-
-
-def paths(column: pa.Array, size: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """Row, first word, number of edges, anchor hash and content hash of each path of a column."""
-    words, first, is_edge = _edges(column, size)
-    at = np.flatnonzero(is_edge)
+    at = np.flatnonzero(np.cumsum(starts[:-1]) > 0)
     if len(at) == 0:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
-    grams = window_hashes(words, anchor)
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
+    grams = window_hashes(word_hashes(data, begins, ends), anchor)
     ranked = (grams >> U(32) << U(32)) | np.arange(len(grams), dtype=U)
     place = (_least(ranked, size - anchor + 1)[at] & U(0xFFFFFFFF)).astype(np.int64)
     row = np.searchsorted(first, at, side="right") - 1
@@ -73,8 +80,8 @@ def paths(column: pa.Array, size: int, anchor: int) -> tuple[np.ndarray, ...]:
     head = np.flatnonzero(new)
     n = np.diff(np.append(head, len(at)))
     begin = at[head]
-    content = span_hashes(words, begin, begin + n - 1 + size)
-    return row[head], begin - first[row[head]], n, grams[place[head]], content
+    content = digests(data, begins, ends, begin, begin + n - 2 + size)
+    return row[head], begin - first[row[head]], n, grams[place[head]].view(np.int64), content[:, 0], content[:, 1]
 
 
 def _keyed(df: DataFrame, id: str, text: str) -> DataFrame:
@@ -84,26 +91,29 @@ def _keyed(df: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def _branch_edges(docs: DataFrame, reps: DataFrame, size: int) -> DataFrame:
-    """One row per edge of the listed paths: its hash, place, and how often its path occurs."""
+    """One row per edge of the listed paths: its digest, place, and how often its path occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 2):
-                words, first, _ = _edges(batch.column(2), size)
-                hashes = window_hashes(words, size)
+                data, offsets = byte_rows(batch.column(2))
+                begins, ends, first = word_bounds(data, offsets)
                 lists = batch.column(3)
                 doc = np.repeat(np.arange(batch.num_rows), np.asarray(lists.value_lengths()))
                 s, n, m = (np.asarray(x).astype(np.int64) for x in lists.flatten().flatten())
                 edge = np.arange(int(n.sum())) + np.repeat(s - (np.cumsum(n) - n), n)
                 of = np.repeat(doc, n)
+                at = first[of] + edge
+                content = digests(data, begins, ends, at, at + size - 1)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(of)), batch.column(1).take(pa.array(of)), pa.array(edge.astype(np.int32)),
-                     pa.array(hashes[first[of] + edge].view(np.int64)), pa.array(np.repeat(m, n))],
-                    names=["k1", "k2", "s", "edge", "m"],
+                     pa.array(content[:, 0]), pa.array(content[:, 1]), pa.array(np.repeat(m, n))],
+                    names=["k1", "k2", "s", "c1", "c2", "m"],
                 )
 
     lists = reps.groupBy("rep.k1", "rep.k2").agg(F.collect_list(F.struct("rep.s", "rep.n", "m")).alias("parts"))
-    return arrow_map(docs.join(lists, KEY).select(*KEY, "text", "parts"), run, "k1 bigint, k2 int, s int, edge bigint, m bigint")
+    listed = docs.join(lists, KEY).select(*KEY, "text", "parts")
+    return arrow_map(listed, run, "k1 bigint, k2 int, s int, c1 bigint, c2 bigint, m bigint")
 
 
 def repeated_parts(docs: DataFrame, size: int, anchor: int) -> DataFrame:
@@ -112,22 +122,27 @@ def repeated_parts(docs: DataFrame, size: int, anchor: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 2):
-                row, s, n, a, c = paths(batch.column(2), size, anchor)
+                row, s, n, *rest = paths(batch.column(2), size, anchor)
                 keys = [batch.column(i).take(pa.array(row)) for i in range(2)]
-                rest = [pa.array(x.astype(np.int32)) for x in (s, n)] + [pa.array(x.view(np.int64)) for x in (a, c)]
-                yield pa.RecordBatch.from_arrays([*keys, *rest], names=["k1", "k2", "s", "n", "anchor", "path"])
+                places = [pa.array(x.astype(np.int32)) for x in (s, n)]
+                yield pa.RecordBatch.from_arrays(
+                    [*keys, *places, *map(pa.array, rest)], names=["k1", "k2", "s", "n", "anchor", *CONTENT]
+                )
 
     found = stored(arrow_map(docs.select(*KEY, "text"), run, PATH))
-    anchors = found.groupBy("anchor").agg(F.count("*").alias("c"), F.min("path").alias("a"), F.max("path").alias("b"))
-    anchors = stored(anchors.filter("c > 1").select("anchor", (F.col("a") != F.col("b")).alias("branches")))
+    bounds = [f(c).alias(f.__name__ + c) for f in (F.min, F.max) for c in CONTENT]
+    anchors = found.groupBy("anchor").agg(F.count("*").alias("c"), *bounds).filter("c > 1")
+    anchors = stored(anchors.select("anchor", F.expr("minc1 != maxc1 OR minc2 != maxc2").alias("branches")))
     shared = stored(found.join(anchors, "anchor"))
+    dropped(found)
     straight = shared.filter("NOT branches").select(*KEY, "s", "n")
     branching = shared.filter("branches")
-    contents = stored(branching.groupBy("anchor", "path").agg(F.count("*").alias("m"), F.min(F.struct(*KEY, "s", "n")).alias("rep")))
-    whole = branching.join(contents.filter("m > 1").select("anchor", "path"), ["anchor", "path"]).select(*KEY, "s", "n")
+    # equal words have equal anchors
+    contents = stored(branching.groupBy(*CONTENT).agg(F.count("*").alias("m"), F.min(F.struct(*KEY, "s", "n")).alias("rep")))
+    whole = branching.join(contents.filter("m > 1").select(*CONTENT), CONTENT).select(*KEY, "s", "n")
     edges = _branch_edges(docs, contents, size)
-    twice = edges.groupBy("edge").agg(F.sum("m").alias("all")).filter("all > 1").select("edge")
-    single = edges.filter("m = 1").join(twice, "edge").select(*KEY, "s", F.lit(1).alias("n"))
+    twice = edges.groupBy(*CONTENT).agg(F.sum("m").alias("all")).filter("all > 1").select(*CONTENT)
+    single = edges.filter("m = 1").join(twice, CONTENT).select(*KEY, "s", F.lit(1).alias("n"))
     parts = straight.unionByName(whole).unionByName(single)
     return parts.groupBy(*KEY).agg(F.collect_list(F.struct("s", "n")).alias("parts"))
 

@@ -89,6 +89,17 @@ def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, lower: b
     return out
 
 
+def spaced_words(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """All words with one space after each, and the byte at which each begins there."""
+    lengths = ends - begins
+    at = np.cumsum(lengths + 1) - lengths - 1
+    out = np.full(int(lengths.sum()) + len(begins), 32, np.uint8)
+    of_word = np.ones(len(out), bool)
+    of_word[at + lengths] = False
+    out[of_word] = data[~_SPACE[data]]
+    return out.tobytes(), at
+
+
 _BASE = 0x9E3779B97F4A7C15 | 5
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
@@ -129,12 +140,3 @@ def slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
         yield batch.slice(at, to - at)
         at = to
-
-
-def span_hashes(words: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of the word hashes of each span, its length included."""
-    with np.errstate(over="ignore"):
-        sums = np.zeros(len(words) + 1, U)
-        np.cumsum(words * _powers(_BASE_INVERSE, len(words)), out=sums[1:])
-        value = (sums[ends] - sums[begins]) * _powers(_BASE, len(words) + 1)[begins]
-        return mixed(value + (ends - begins).astype(U) * U(0xD6E8FEB86659FD93))
