@@ -165,6 +165,8 @@ def test_repeats(spark, monkeypatch, size, anchor, letters, collide):
     if collide:
         cloudpickle.register_pickle_by_value(sys.modules[__name__])
         monkeypatch.setattr(repeats, "paths", _with_equal_hashes)
+        monkeypatch.setattr(repeats, "PIECE", 2)  # groups of three places are cut
+        monkeypatch.setattr(repeats, "MOST_CUT", 1_000_000)
     pick = random.Random(size)
     vocabulary = [f"v{i}" for i in range(letters)]
     shared = [pick.choices(vocabulary, k=size + pick.randrange(3 * size)) for _ in range(6)]

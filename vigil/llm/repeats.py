@@ -38,6 +38,8 @@ SIZE = 35
 ANCHOR = 8
 KEY = ["k1", "k2"]
 CONTENT = ["c1", "c2"]
+PIECE = 5_000
+MOST_CUT = 200_000
 PATH = "k1 bigint, k2 int, s int, n int, anchor bigint, c1 bigint, c2 bigint"
 
 
@@ -116,6 +118,20 @@ def _branch_edges(docs: DataFrame, reps: DataFrame, size: int) -> DataFrame:
     return arrow_map(listed, run, "k1 bigint, k2 int, s int, c1 bigint, c2 bigint, m bigint")
 
 
+def _with_group(places: DataFrame, groups: DataFrame, by: list[str], weight: str, total: int) -> DataFrame:
+    """Join places to their group by ``by``; a group of many places is cut into pieces of ``PIECE`` or a bit more.
+
+    ``total`` bounds the sum of the weights, so at most ``MOST_CUT`` groups are cut; only these are broadcast.
+    """
+    piece = max(PIECE, -(-total // MOST_CUT))
+    pieces = F.ceil(F.col(weight) / piece)
+    cut = groups.filter(F.col(weight) > piece).select(*by, pieces.alias("pieces"))
+    piece_of = F.coalesce(F.pmod(F.xxhash64(*KEY, "s"), F.col("pieces")), F.lit(0).cast("long"))
+    dealt = places.join(F.broadcast(cut), by, "left").withColumn("piece", piece_of).drop("pieces")
+    each = groups.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)))
+    return dealt.join(each, [*by, "piece"]).drop("piece", weight)
+
+
 def repeated_parts(docs: DataFrame, size: int, anchor: int) -> DataFrame:
     """Per row key the repeated edges as a list of (first word, number of edges)."""
 
@@ -132,17 +148,19 @@ def repeated_parts(docs: DataFrame, size: int, anchor: int) -> DataFrame:
     found = stored(arrow_map(docs.select(*KEY, "text"), run, PATH))
     bounds = [f(c).alias(f.__name__ + c) for f in (F.min, F.max) for c in CONTENT]
     anchors = found.groupBy("anchor").agg(F.count("*").alias("c"), *bounds).filter("c > 1")
-    anchors = stored(anchors.select("anchor", F.expr("minc1 != maxc1 OR minc2 != maxc2").alias("branches")))
-    shared = stored(found.join(anchors, "anchor"))
+    anchors = stored(anchors.select("anchor", "c", F.expr("minc1 != maxc1 OR minc2 != maxc2").alias("branches")))
+    total = found.count()
+    shared = stored(_with_group(found, anchors, ["anchor"], "c", total))
     dropped(found)
     straight = shared.filter("NOT branches").select(*KEY, "s", "n")
     branching = shared.filter("branches")
     # equal words have equal anchors
     contents = stored(branching.groupBy(*CONTENT).agg(F.count("*").alias("m"), F.min(F.struct(*KEY, "s", "n")).alias("rep")))
-    whole = branching.join(contents.filter("m > 1").select(*CONTENT), CONTENT).select(*KEY, "s", "n")
+    whole = _with_group(branching, contents.filter("m > 1").select(*CONTENT, "m"), CONTENT, "m", total).select(*KEY, "s", "n")
     edges = _branch_edges(docs, contents, size)
-    twice = edges.groupBy(*CONTENT).agg(F.sum("m").alias("all")).filter("all > 1").select(*CONTENT)
-    single = edges.filter("m = 1").join(twice, CONTENT).select(*KEY, "s", F.lit(1).alias("n"))
+    twice = edges.groupBy(*CONTENT).agg(F.sum("m").alias("all")).filter("all > 1")
+    most = total * (size - anchor + 1)  # edges of a path share an anchor inside each of them
+    single = _with_group(edges.filter("m = 1"), twice, CONTENT, "all", most).select(*KEY, "s", F.lit(1).alias("n"))
     parts = straight.unionByName(whole).unionByName(single)
     return parts.groupBy(*KEY).agg(F.collect_list(F.struct("s", "n")).alias("parts"))
 
