@@ -30,22 +30,6 @@ def session_count_window(events: DataFrame, size: int = GROUP, limit: int | None
     )
 
 
-def _features(with_null_types: bool) -> list[Column]:
-    types = F.count_distinct("event_type")
-    if with_null_types:
-        types = types + F.max(F.col("event_type").isNull().cast("long"))
-    return [
-        F.count_distinct("ip").alias("unique_ips"),
-        F.count_distinct("country").alias("unique_countries"),
-        F.count_distinct("user_agent").alias("unique_agents"),
-        F.count(F.lit(1)).alias("event_count"),
-        types.alias("unique_events"),
-        F.min("hour").alias("min_hour"),
-        F.max("hour").alias("max_hour"),
-        F.avg("hour").alias("avg_hour"),
-    ]
-
-
 def _few_values(column: str) -> Column:
     return F.size(F.collect_set(column)).cast("long")
 
@@ -87,8 +71,31 @@ def session_features(events: DataFrame, keep_empty: bool = True) -> DataFrame:
     rows = events.where(F.col("session_id").isNotNull())
     if not keep_empty:
         rows = rows.where(F.col("session_id") != "")
-    first_user = F.min_by("user_id", F.when(F.col("user_id").isNotNull(), F.struct("sec", "seq")))
-    return rows.groupBy("session_id").agg(first_user.alias("user_id"), *_features(with_null_types=True))
+    # A session's events mostly share few combinations of values: distinct counts copy these, not every event.
+    combined = rows.groupBy("session_id", "ip", "country", "user_agent", "event_type").agg(
+        F.min(F.when(F.col("user_id").isNotNull(), F.struct("sec", "seq", "user_id"))).alias("first"),
+        F.count(F.lit(1)).alias("events"),
+        F.min("hour").alias("min_hour"),
+        F.max("hour").alias("max_hour"),
+        F.sum("hour").alias("hours"),
+        F.count("hour").alias("timed"),
+    )
+    null_types = F.max(F.col("event_type").isNull().cast("long"))
+    return (
+        combined.groupBy("session_id")
+        .agg(
+            F.min("first").alias("first"),
+            F.count_distinct("ip").alias("unique_ips"),
+            F.count_distinct("country").alias("unique_countries"),
+            F.count_distinct("user_agent").alias("unique_agents"),
+            F.sum("events").alias("event_count"),
+            (F.count_distinct("event_type") + null_types).alias("unique_events"),
+            F.min("min_hour").alias("min_hour"),
+            F.max("max_hour").alias("max_hour"),
+            F.try_divide(F.sum("hours"), F.sum("timed")).alias("avg_hour"),
+        )
+        .select("session_id", F.col("first.user_id").alias("user_id"), *FEATURES)
+    )
 
 
 def session_event_sequence(events: DataFrame, part_size: int = 10_000, limit: int | None = None) -> DataFrame:
