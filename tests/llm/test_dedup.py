@@ -98,18 +98,46 @@ def test_near_groups_of_unlike_members(spark):
     assert sorted(map(tuple, found)) == brute_near(rows)
 
 
-def test_coinciding_low_hashes_lose_no_link(spark, monkeypatch):
-    """Of 40 shingles 38 are common, 35 of these have one low hash."""
-    common = [i << 32 for i in range(35)] + [1, 2, 3]
-    sets = [np.array(sorted([*common, *own]), np.uint64) for own in ((4, 5), (6, 7))]
-    monkeypatch.setattr(near, "shingle_sets", lambda column, size: iter(sets))
-    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a", "b"])], names=["id", "text"])
-    rows = [r for out in near._full_sets(iter([batch]), 5) for r in out.to_pylist()]
-    assert [r["alike"] for r in rows] == [34, 34]
-    df = spark.createDataFrame([(r["id"], len(r["shingles"]), r["low"], r["alike"]) for r in rows], "id long, n long, low array<int>, alike long")
-    pairs = df.alias("a").join(df.alias("b"), F.col("a.id") < F.col("b.id"))
-    assert pairs.filter(near._low_fit("a", "b", 75)).count() == 1
-    assert pairs.filter(near._low_fit("a", "b", 96)).count() == 0
+def test_prefix_pairs_lose_none(spark):
+    """Sets of one component each: all pairs at the bound or above come out, at exactly 0.75 too."""
+    pick = random.Random(4)
+    sets = []
+    for _ in range(12):
+        base = pick.sample(range(400), 40)
+        for _ in range(8):
+            sets.append(sorted(set(base[: pick.randint(30, 40)]) | set(pick.sample(range(400), pick.choice([0, 2, 5])))))
+    sets += [[900, 901, 902], [900, 901, 902, 903], [900, 901, 904, 905]]
+    full = spark.createDataFrame(list(enumerate(sets)), "id long, shingles array<long>")
+    rows = [(i, i, i % 3 > 0, len(s), 0, 0, 0) for i, s in enumerate(sets)]
+    members = spark.createDataFrame(rows, "rep long, comp long, outer boolean, n long, w0 long, w1 long, w2 long")
+    expected = set()
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            both = len(set(x) & set(y))
+            if (i % 3 or j % 3) and 100 * both >= 75 * (len(x) + len(y) - both):
+                expected.add((j, i))
+    assert (len(sets) - 3, len(sets) - 2) in expected
+    found = near.prefix_pairs(members, full, 75)
+    assert found.count() == found.distinct().count()
+    assert {tuple(r) for r in near._confirmed(found, full, 75).collect()} == expected
+
+
+def test_template_texts_pair_by_their_own_words_only(spark):
+    """Texts with one long opening, alike below the bound: no pair is nominated, so work does not grow with their square."""
+    pick = random.Random(5)
+    sets = [[*range(200), *pick.sample(range(1000, 1 << 40), 60)] for _ in range(60)]
+    full = spark.createDataFrame(list(enumerate(sets)), "id long, shingles array<long>")
+    rows = [(i, i, True, len(s), 0, 0, 0) for i, s in enumerate(sets)]
+    members = spark.createDataFrame(rows, "rep long, comp long, outer boolean, n long, w0 long, w1 long, w2 long")
+    assert near.prefix_pairs(members, full, 75).count() == 0
+
+
+def test_pairs_of_one_hub_are_confirmed_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(near, "PIECE", 3)
+    full = spark.createDataFrame([(i, [1, 2, 3, 10 + i % 2]) for i in range(40)], "id long, shingles array<long>")
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 40)], "u long, v long")
+    found = sorted(tuple(r) for r in near._confirmed(pairs, full, 75).collect())
+    assert found == [(0, i) for i in range(2, 40, 2)]
 
 
 def test_components(spark):

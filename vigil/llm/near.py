@@ -4,10 +4,12 @@
 2. The set's minima under 144 universal hash functions form 36 bands of 4; sets that share a band are nominated. A pair at
    a similarity of exactly 0.75 shares none with a probability of about one in a million.
 3. Every member of a bucket is compared with the bucket's first document on the full sets.
-4. Only pairs of one bucket that are still in different components can add anything. The members outside the bucket's main
-   component are compared with the others inside the join's condition: by size, by a sketch of one bit per minimum (six
-   standard deviations wide), in the first bucket that both are in only, and by the intersection of the sets in 32-bit hashes, which loses no link. So the pairs of a group
-   are not written out, only links are; these are confirmed on the full sets.
+4. Only pairs of one bucket that are still in different components can add anything. The documents of such buckets go
+   through an exact prefix join: shingles are ordered from rare to frequent, and two sets can only be similar enough if the
+   first shingle they share in this order has enough shingles behind it in both. So a set enters with its rare shingles
+   only, the smaller set of a pair with fewer, and what many texts have in common (an opening, a template) is not looked
+   up. Sizes, the shingles left behind the shared one, and a sketch of one bit per minimum (six standard deviations wide)
+   decide inside the join's condition; the pairs that come out are confirmed on the full sets.
 5. Components come from alternating large-star and small-star.
 
 Defined results: null or empty texts, and texts without words, have no shingles and no links; a null id links nothing;
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.llm.common import arrow_map, documents, stored
@@ -32,6 +34,7 @@ PERCENT = 75
 BANDS = 36
 ROWS = 4
 MOST_BITS = 42
+PIECE = 256  # pairs of one document that are confirmed by one copy of its set
 _MULTIPLY = (keyed(BANDS * ROWS, 101) | U(1))[:, None]
 _ADD = keyed(BANDS * ROWS, 102)[:, None]
 _JOIN = keyed(ROWS, 103) | U(1)
@@ -96,28 +99,57 @@ def _full_sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Reco
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
             flat = np.concatenate(sets)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            low = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32)))
-            alike = pa.array([len(x) - len(np.unique(x.astype(np.int32))) for x in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, low, alike], names=["id", "shingles", "low", "alike"])
-
-
-def _sizes_fit(a: str, b: str, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
-
-def _low_fit(a: str, b: str, percent: int) -> Column:
-    """Whether the sets can be similar enough by their 32-bit hashes, of which ``alike`` coincide with another of the set."""
-    both = F.size(F.array_intersect(f"{a}.low", f"{b}.low")).cast("long") + F.least(f"{a}.alike", f"{b}.alike")
-    return both * 100 >= (F.col(f"{a}.n") + F.col(f"{b}.n") - both) * percent
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "shingles"])
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``u``, ``v`` whose full sets are similar enough."""
-    left = sets.select(F.col("id").alias("u"), F.col("shingles").alias("x"))
+    """The pairs ``u``, ``v`` whose full sets are similar enough.
+
+    A document that is ``u`` of many pairs meets them in several tasks: its set is copied once per ``PIECE`` pairs.
+    """
+    number = F.pmod(F.xxhash64("v"), F.col("pieces")).alias("piece")
+    pieces = pairs.groupBy("u").agg(F.ceil(F.count("*") / PIECE).cast("long").alias("pieces"))
+    left = sets.select(F.col("id").alias("u"), F.col("shingles").alias("x")).join(pieces, "u")
+    left = left.select("u", "x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)).alias("piece"))
     right = sets.select(F.col("id").alias("v"), F.col("shingles").alias("y"))
+    placed = pairs.join(pieces, "u").select("u", "v", number)
     both = F.size(F.array_intersect("x", "y")).cast("long")
     held = both * 100 >= (F.size("x") + F.size("y") - both) * percent
-    return pairs.join(left, "u").join(right, "v").filter(held).select("u", "v")
+    return placed.join(right, "v").join(left, ["u", "piece"]).filter(held).select("u", "v")
+
+
+def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``u``, ``v`` of different components that may be similar enough; none that is goes missing.
+
+    ``members`` has ``rep``, ``comp``, ``outer`` (one of the two is outer in every pair), ``n`` and the sketch; ``sets`` has
+    ``id`` and ``shingles``. Shingles of one member only order nothing: they stand before all others. ``behind`` is the
+    number of a set's shingles from the shared one on, itself included.
+    """
+    items = sets.join(members.select(F.col("rep").alias("id")), "id", "left_semi")
+    items = items.select(F.col("id").alias("rep"), F.explode("shingles").alias("s"))
+    shared = items.groupBy("s").agg(F.count("*").alias("f")).filter("f > 1")
+    last = Window.partitionBy("rep").orderBy(F.desc("f"), F.desc("s"))
+    ranked = items.join(shared, "s").select("rep", "s", F.row_number().over(last).cast("long").alias("behind"))
+    probe = ranked.join(members, "rep").filter(F.col("behind") * 100 >= F.col("n") * percent)
+    probe = stored(probe.select("s", "behind", "rep", "comp", "outer", "n", "w0", "w1", "w2"))
+    index = probe.filter(F.col("behind") * (100 + percent) >= F.col("n") * (2 * percent))
+
+    apart = sum((F.bit_count(F.col(f"a.w{i}").bitwiseXOR(F.col(f"b.w{i}"))) for i in range(3)), F.lit(0))
+    enough = F.least("a.behind", "b.behind") * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
+    close = (
+        (F.col("a.s") == F.col("b.s"))
+        & (F.struct("a.n", "a.rep") < F.struct("b.n", "b.rep"))
+        & (F.col("a.n") * 100 >= F.col("b.n") * percent)
+        & enough
+        & (F.col("a.comp") != F.col("b.comp"))
+        & (apart <= MOST_BITS)
+    )
+    found = None
+    for small, large in ((index.filter("outer"), probe), (index.filter("NOT outer"), probe.filter("outer"))):
+        pairs = small.alias("a").join(large.alias("b"), close)
+        pairs = pairs.select(F.least("a.rep", "b.rep").alias("u"), F.greatest("a.rep", "b.rep").alias("v"))
+        found = pairs if found is None else found.unionByName(pairs)
+    return found.distinct()
 
 
 def near_duplicates(
@@ -134,12 +166,11 @@ def near_duplicates(
     entries = sets.select(F.explode("bands").alias("band"), "rep")
     shared = stored(entries.groupBy("band").agg(F.count("*").alias("m"), F.min("rep").alias("lead")).filter("m > 1"))
     members = stored(entries.join(shared.select("band", "lead"), "band"))
-    sketches = sets.select("rep", "n", "bands", "w0", "w1", "w2")
 
     needed = members.select(F.col("rep").alias("id")).distinct()
-    full = stored(arrow_map(bare.join(needed, "id", "left_semi"), lambda b: _full_sets(b, size), f"id {kind}, shingles array<long>, low array<int>, alike long"))
+    full = stored(arrow_map(bare.join(needed, "id", "left_semi"), lambda b: _full_sets(b, size), f"id {kind}, shingles array<long>"))
     stars = members.filter("rep <> lead").select(F.col("lead").alias("u"), F.col("rep").alias("v")).distinct()
-    links = stored(_confirmed(stars, full, percent).distinct())
+    links = stored(_confirmed(stars, full, percent))
     roots = components(links)
 
     placed = members.join(roots, members["rep"] == roots["node"], "left").select(
@@ -148,17 +179,11 @@ def near_duplicates(
     parts = placed.groupBy("band", "comp").agg(F.count("*").alias("m")).groupBy("band")
     parts = parts.agg(F.count("*").alias("c"), F.max_by("comp", F.struct("m", "comp")).alias("main")).filter("c > 1")
     # the bucket's first document has been compared with all others
-    rest = placed.filter("rep <> lead").join(parts.select("band", "main"), "band")
-    low = full.select(F.col("id").alias("rep"), "low", "alike")
-    rest = stored(rest.join(sketches, "rep").join(low, "rep").select("band", "rep", "comp", "main", "n", "bands", "w0", "w1", "w2", "low", "alike"))
-    if not rest.isEmpty():
-        a, b = rest.filter("comp <> main").alias("a"), rest.alias("b")
-        apart = sum((F.bit_count(F.col(f"a.w{i}").bitwiseXOR(F.col(f"b.w{i}"))) for i in range(3)), F.lit(0))
-        once = F.array_intersect("a.bands", "b.bands")[0] == F.col("a.band")  # each pair in its first common bucket only
-        close = (F.col("a.comp") != F.col("b.comp")) & _sizes_fit("a.n", "b.n", percent) & (apart <= MOST_BITS) & once & _low_fit("a", "b", percent)
-        pairs = a.join(b, (F.col("a.band") == F.col("b.band")) & close)
-        pairs = pairs.select(F.least("a.rep", "b.rep").alias("u"), F.greatest("a.rep", "b.rep").alias("v")).distinct()
-        more = stored(_confirmed(pairs, full, percent).distinct())
+    outer = F.max(F.col("comp") != F.col("main")).alias("outer")
+    rest = placed.filter("rep <> lead").join(parts.select("band", "main"), "band").groupBy("rep", "comp").agg(outer)
+    rest = stored(rest.join(sets.select("rep", "n", "w0", "w1", "w2"), "rep"))
+    if not rest.filter("outer").isEmpty():
+        more = stored(_confirmed(stored(prefix_pairs(rest, full, percent)), full, percent))
         if not more.isEmpty():
             roots = components(links.unionByName(more))
 
