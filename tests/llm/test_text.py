@@ -2,6 +2,7 @@
 
 import gzip
 import random
+import tracemalloc
 import uuid
 import zlib
 from concurrent.futures import ThreadPoolExecutor
@@ -81,6 +82,41 @@ def test_passages_within_the_budget(spark):
     assert {r["doc_id"] for r in clean.collect()} == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def repeated_opening(n, times):
+    """Items with one opening of 100 characters, and a text that repeats it; some items stand in it whole."""
+    pick = random.Random(8)
+    words = ["".join(pick.choices("abcdefgh", k=6)) for _ in range(500)]
+    opening = " ".join(words[:14])
+    items = [f"{opening} {' '.join(pick.choices(words, k=pick.choice([3, 20, 200])))}" for _ in range(n)]
+    text = " ".join([opening] * times + [items[5], opening, edited(pick, items[9], 2), opening, items[7][:-9]])
+    return items, [text, None, "", items[3], opening]
+
+
+def test_bands_in_any_steps(monkeypatch):
+    items, texts = repeated_opening(40, 60)
+    index = decontam.Index.of(list(range(40)), items, decontam.GRAM, decontam.PERCENT)
+    whole = decontam.passages(texts, index, index.present())
+    assert {(0, 5), (0, 9), (3, 3)} <= {x[:2] for x in whole}
+    points = decontam.normalised(texts)[0]
+    bands = [x.tolist() for x in decontam._bands(points, index, index.present())]
+    for hits, cells in ((37, 1), (500, 3000), (7919, 1 << 21)):
+        monkeypatch.setattr(decontam, "MOST_HITS", hits)
+        monkeypatch.setattr(decontam, "MOST_CELLS", cells)
+        assert [x.tolist() for x in decontam._bands(points, index, index.present())] == bands
+        assert decontam.passages(texts, index, index.present()) == whole
+
+
+def test_memory_of_frequent_grams_is_bounded():
+    items, texts = repeated_opening(300, 1200)
+    index = decontam.Index.of(list(range(300)), items, decontam.GRAM, decontam.PERCENT)
+    points, present = decontam.normalised(texts)[0], index.present()
+    tracemalloc.start()
+    decontam._bands(points, index, present)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20  # all pairs of place and item at once: 30 million, over 1 GB
+
+
 def test_items_in_blocks(spark, monkeypatch):
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")

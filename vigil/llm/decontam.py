@@ -5,6 +5,9 @@ A passage within ``k`` edits of an item of ``m`` characters shares at least ``m
 an item are counted in overlapping diagonal bands; bands that meet the bound are kept and verified by an alignment inside
 the band. The budget ``k`` is 5 % of the item's length, less where the lemma would have no force.
 
+Memory in a task is bounded, however often a q-gram occurs: places of the text are taken in order, ``MOST_HITS`` pairs of
+place and item at a time, and a band is decided as soon as no later place can reach it. Alignments are batched by cells.
+
 Items reach the tasks in blocks of a bounded size (``BLOCK_CHARS`` characters, at least one item); a larger benchmark means
 more passes over the documents. Documents are not shuffled.
 
@@ -30,6 +33,8 @@ from vigil.llm.words import U, keyed, mixed, slices, window_hashes
 GRAM = 12
 PERCENT = 5
 BLOCK_CHARS = 2_000_000
+MOST_HITS = 1 << 20
+MOST_CELLS = 1 << 21
 _BITS = 23
 _POINT = keyed(1, 301)[0]
 
@@ -120,18 +125,42 @@ def _bands(points: np.ndarray, index: Index, present: np.ndarray) -> tuple[np.nd
     slot[slot == len(index.grams)] = 0
     same = index.grams[slot] == hashes[place]
     place, slot = place[same], slot[same]
-    n = index.first[slot + 1] - index.first[slot]
-    own = np.arange(int(n.sum())) + np.repeat(index.first[slot] - (np.cumsum(n) - n), n)
-    item = index.item[own]
-    diagonal = np.repeat(place, n) - index.at[own]
-    width = index.width[item]
-    band = diagonal // width
-    keys = (band + 2) * len(index.ids) + item  # each hit lies in two bands
-    keys, counts = np.unique(np.concatenate([keys, keys - len(index.ids)]), return_counts=True)
-    item = keys % len(index.ids)
-    held = counts >= index.bound[item]
-    item, band = item[held], keys[held] // len(index.ids) - 2
-    return item, band * index.width[item]
+    items = len(index.ids)
+    lengths = index.bound - 1 + index.q + index.budget * index.q
+    ends = np.cumsum(index.first[slot + 1] - index.first[slot])
+    none = np.zeros(0, np.int64)
+    open_keys, open_counts, held, at = none, none, [none], 0
+    while at < len(place):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + MOST_HITS, side="right")))
+        s = slot[at:to]
+        n = index.first[s + 1] - index.first[s]
+        own = np.arange(int(n.sum())) + np.repeat(index.first[s] - (np.cumsum(n) - n), n)
+        item = index.item[own]
+        band = (np.repeat(place[at:to], n) - index.at[own]) // index.width[item]
+        hit = (band + 2) * items + item  # each hit lies in two bands
+        keys, counts = np.unique(np.concatenate([hit, hit - items]), return_counts=True)
+        keys, slots = np.unique(np.concatenate([open_keys, keys]), return_inverse=True)
+        counts = np.bincount(slots, np.concatenate([open_counts, counts]), len(keys)).astype(np.int64)
+        item = keys % items
+        last = (keys // items) * index.width[item] + lengths[item]  # no place from here on lies in the band
+        closed = last <= place[to] if to < len(place) else np.ones(len(keys), bool)
+        held.append(keys[closed & (counts >= index.bound[item])])
+        open_keys, open_counts, at = keys[~closed], counts[~closed], to
+    keys = np.sort(np.concatenate(held))
+    item = keys % items if items else keys
+    return item, (keys // max(1, items) - 2) * index.width[item]
+
+
+def _batches(item: np.ndarray, index: Index) -> Iterator[np.ndarray]:
+    """Places in ``item`` whose alignments are made together: items of similar length, a bounded number of cells."""
+    lengths = np.array([len(index.texts[k]) for k in item], np.int64)
+    order = np.argsort(lengths, kind="stable")
+    at = 0
+    while at < len(order):
+        cells = np.arange(1, min(2048, len(order) - at) + 1) * lengths[order[at : at + 2048]]
+        to = at + max(1, int(np.searchsorted(cells, MOST_CELLS, side="right")))
+        yield order[at:to]
+        at = to
 
 
 def _align(patterns: list[np.ndarray], points: np.ndarray, diagonal: np.ndarray, across: np.ndarray, ended: bool = False):
@@ -149,14 +178,14 @@ def _align(patterns: list[np.ndarray], points: np.ndarray, diagonal: np.ndarray,
     if ended:
         row = np.where(outside, far, np.abs(shift[None, :] - (across[:, None] // 2))).astype(np.int32)
         row[shift[None, :] < across[:, None] // 2] = far
-    pattern = np.full((n, int(lengths.max())), -1, np.int64)
+    pattern = np.full((n, int(lengths.max())), -1, np.int32)
     for i, p in enumerate(patterns):
         pattern[i, : len(p)] = p
     best, end = np.full(n, far), np.zeros(n, np.int64)
     for j in range(pattern.shape[1]):
         place = diagonal[:, None] + j + shift[None, :]
         inside = (place >= 0) & (place < len(points))
-        here = points[np.clip(place, 0, len(points) - 1)].astype(np.int64)
+        here = points[np.clip(place, 0, len(points) - 1)].astype(np.int32)
         step = row + ((here != pattern[:, j, None]) | ~inside | (here == _END))
         skip = np.full_like(row, far)
         skip[:, :-1] = row[:, 1:] + 1  # the item's character has no partner
@@ -175,8 +204,8 @@ def passages(texts: list[str | None], index: Index, present: np.ndarray) -> list
     points, owner, place, begins = normalised(texts)
     item, diagonal = _bands(points, index, present)
     found = []
-    for at in range(0, len(item), 2048):
-        i, d = item[at : at + 2048], diagonal[at : at + 2048]
+    for part in _batches(item, index):
+        i, d = item[part], diagonal[part]
         edits, end = _align([index.texts[k] for k in i], points, d, 2 * index.width[i])
         ok = edits <= index.budget[i]
         i, edits, end = i[ok], edits[ok], end[ok]
