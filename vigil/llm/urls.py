@@ -34,14 +34,53 @@ RULES = (
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_BAD = "casino poker bets betting jackpot slots pills viagra cheap-meds adult xxx porn sexcam spam spamfarm ads adserver tracker track popunder win-prize free-money free-bets lottery payday-loan warez"
-_GOOD = "news weather library museum school university recipes garden travel science history music photo wiki docs forum health city council sports theatre books journal climate maths language archive reports"
-LABELLED = tuple(
-    (f"https://{pre}{name}{end}/{path}", label)
-    for label, names in ((1, _BAD), (0, _GOOD))
-    for k, name in enumerate(names.split())
-    for pre, end, path in (("", "-site.example.org", f"en/{k}.html"), ("www.", ".test.net", f"de/{k * 7}/"), ("m.", ".host.example.com", f"fr/{k * 31}"))
-)
+# The labelled table: host and path of URLs to block and to allow, labelled by hand; almost every one is another site.
+_BLOCK = """
+royal-casino.bet/slots/spin  play.royal-casino.bet/bonus/free-spins  luckyslots777.example/jackpot/  www.poker-stars-bonus.example/signup
+bet-on-sports.example/odds/live  m.bestbets.example/free-bets/today  jackpotcity-online.example/casino/roulette  slots.vegas-win.example/play
+online-casino-bonus.example/no-deposit  lottery-winner.example/claim/prize  www.win-prize-now.example/iphone/claim.php  free-money-fast.example/click
+cheap-meds-online.example/viagra/buy  buy-viagra.example/order/pills  www.cheap-pills.example/cialis/no-prescription  pharmacy-discount-rx.example/meds/cheap
+weightloss-pills.example/order-now  rx-pills-store.example/generic/viagra  adult-videos.example/xxx/hd  www.xxx-tube.example/porn/watch
+sexcam-live.example/girls/online  porn-hd.example/free/video/  hot-adult-dating.example/join  webcam-sex-chat.example/adult/room
+ads.adserver-one.example/banner/click  adserver.trackmedia.example/pixel.gif  tracker.clickcount.example/track/click  popunder-ads.example/serve.js
+pixel.adtracker.example/collect  cdn.popads.example/popunder.js  banner-click.example/ads/redirect  track.affiliate-clicks.example/offer
+spamfarm-links.example/seo/backlinks  buy-backlinks-cheap.example/seo/spam  linkfarm.spamblog.example/keywords/  bulk-mail-spam.example/lists/buy
+payday-loan-fast.example/apply  instant-payday-loans.example/cash/now  quick-cash-loans.example/no-credit-check  free-crypto-giveaway.example/double/btc
+warez-download.example/crack/keygen  cracked-software.example/serial/keygen  free-warez.example/full/crack.exe  torrent-warez.example/download/cracked
+replica-watches-cheap.example/rolex  fake-designer-bags.example/cheap/buy  verify-account-login.example/secure/bank/update.php  bank-login-confirm.example/signin/verify
+m.blackjack-live.example/casino/tables  www.bingo-bonus.example/free/signup  betting-tips-vip.example/odds/today  roulette-strategy.example/win/jackpot
+poker-room-online.example/play/bonus  sports-betting-odds.example/live/bets  viagra-generic.example/buy/cheap  www.diet-pills-fast.example/order/pills
+no-prescription-meds.example/rx/  erotic-stories-xxx.example/adult/  free-porn-clips.example/watch/hd  m.sexchat.example/girls/live
+adclick.example/banner/redirect  www.popup-ads-server.example/serve/ad.js  track-visits.example/pixel/track  spam-comments-bot.example/seo/links
+cash-advance-loan.example/apply/fast  win-free-phone.example/prize/claim  keygen-cracks.example/warez/serial  secure-login-update.example/bank/verify
+prize-survey.example/winner/claim  download-free-codec.example/setup.exe  pc-cleaner-alert.example/virus/warning  free-bets-casino.example/promo
+"""
+_ALLOW = """
+www.city-library.example/catalogue/new  library.northfield.example/opening-hours  daily-news.example/politics/2023/05/article  news.harbour-post.example/world/story-118
+www.riverside-school.example/parents/calendar  physics.uni-lakeside.example/lectures/quantum  university-press.example/journals/biology  museum-of-science.example/exhibitions/space
+weather.coastal.example/forecast/week  climate-data.example/reports/rainfall  garden-diary.example/roses/pruning  family-recipes.example/soups/lentil
+baking-at-home.example/bread/sourdough  www.hill-walks.example/routes/north  train-times.example/stations/central  city-council.example/planning/applications
+health-service.example/advice/flu  hospital-trust.example/departments/cardiology  history-society.example/archive/1890  local-archive.example/photos/harbour
+docs.parserkit.example/reference/api  wiki.openmaps.example/index/Main_Page  forum.woodwork.example/thread/4411  blog.slow-travel.example/spain/granada
+maths-for-all.example/algebra/lesson-3  language-exchange.example/spanish/verbs  chess-club.example/results/2022  football-league.example/fixtures/may
+theatre-royal.example/season/hamlet  concert-hall.example/programme/brahms  bookshop.example/fiction/authors  poetry-review.example/issues/spring
+astronomy-club.example/observing/mars  bird-watchers.example/species/heron  geology-notes.example/minerals/quartz  photo-walks.example/gallery/autumn
+software-manual.example/install/linux  code-notes.example/python/iterators  www.statistics-office.example/tables/population  parliament-records.example/debates/2021
+court-reports.example/cases/summary  open-data.example/datasets/transport  village-hall.example/events/june  parish-church.example/services/sunday
+cycling-routes.example/maps/river  sailing-school.example/courses/beginner  pet-care.example/dogs/puppies  dental-advice.example/children/teeth
+www.miller-roofing.example/contact  m.garcia.example/de/14  novak-law.example/team/  blog.johnson-family.example/posts/203
+www.dubois.example/about?x=1  schneider-optik.example/fr/work  bristol-dental.example/prices  www.kowalski.example/en/88
+lindqvist.example/estate/history  m.portsmouth.example/oysters  lisbon-hotel.example/rooms/12  www.cornwall.example/beaches/en/
+rossi-brothers.example/joinery  www.leicester.example/local/61/  emma-clarke.example/music  highland-wool.example/yarn/7
+www.salisbury.example/market  blog.hoffmann.example/de/501  yamamoto.example/ceramics  peterson-tools.example/catalog/3
+tea-house.example/menu/green-tea  film-archive.example/directors/silent  job-centre.example/vacancies/teacher  science-magazine.example/articles/ocean
+"""
+LABELLED = tuple((f"https://{site}", label) for label, table in ((1, _BLOCK), (0, _ALLOW)) for site in table.split())
+
+
+def site(url: str) -> str:
+    """The last two parts of the host: URLs of one site stay on one side of a held-out split."""
+    return ".".join(split_url(url)[0].split(".")[-2:])
 
 
 def features(host: str, path: str) -> list[int]:
