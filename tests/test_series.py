@@ -72,6 +72,28 @@ def test_one_order_over_all_rows(skewed, limit):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted((r[:4] for r in brute_force(alone)), key=repr)
 
 
+def rows_per_task(df):
+    return sorted((r["count"] for r in df.groupBy(F.spark_partition_id().alias("task")).count().collect()), reverse=True)
+
+
+def test_a_tasks_share_of_ordinary_keys_does_not_grow_with_the_table(spark):
+    table = spark.range(20_000).select((F.col("id") % 4000).alias("key"), F.col("id").alias("sec"), F.col("id").alias("seq"))
+    spark.conf.set("vigil.rowsPerBlock", "500")
+    try:
+        counted = by_key(table, ["key"]).apply(lambda s: s.colocate(), lambda s: s.running(Running("n", "sum", F.lit(1)))).frame()
+        assert rows_per_task(counted)[0] <= 1000
+    finally:
+        spark.conf.unset("vigil.rowsPerBlock")
+
+
+def test_blocks_do_not_meet_in_a_task(spark):
+    table = spark.range(5000).select(F.col("id").alias("sec"), F.col("id").alias("seq"))
+    series = in_one_order(table, limit=250)
+    for cut in (series.running(Running("n", "sum", F.lit(1)), keep=False).df, series.lag(["sec"], 1).running(Running("n", "sum", F.lit(1)), keep=False).df):
+        met = cut.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("_block").alias("blocks")).collect()
+        assert len(met) == 20 and max(r["blocks"] for r in met) == 1
+
+
 def test_no_task_holds_a_hot_key(skewed):
     hot = by_key(skewed, ["key"], limit=60).parts[1]
     sizes = [r["count"] for r in hot.df.groupBy("_block").count().collect()]

@@ -119,8 +119,7 @@ def global_transitions(
     There are only a handful of transitions, so a window per transition would be a few huge tasks: beyond one block
     of rows the events are cut into blocks of consecutive events and only block totals travel between them.
     """
-    series = in_one_order(df, limit=limit, rows=rows)
-    series = series.colocate(BLOCK) if series.cut else series.colocate(FIRST)
+    series = in_one_order(df, limit=limit, rows=rows).colocate(FIRST)
     return series.running(*_transition_counts("global"), keep=keep).df.drop(BLOCK)
 
 

@@ -4,11 +4,15 @@ A window over ``partitionBy(user)`` puts all rows of a user into one task. That
 ordinary keys and a dead end for a key that holds a large share of the table. ``by_key`` therefore counts the
 rows per key first and treats the two kinds apart:
 
-* ordinary keys (at most ``rows_per_block`` rows) run plain windows, one hash shuffle for all of them;
+* ordinary keys (at most ``rows_per_block`` rows) run plain windows, one hash shuffle for all of them, over as many tasks
+  as give each about ``rows_per_block`` rows;
 * oversized keys are range-partitioned on ``key + order`` into blocks of about ``rows_per_block`` consecutive
   rows. Every running value is then the value inside the block combined with an opening value, which comes from
   the block totals: a table with one row per block and group, so no task ever sees more than a block of rows.
 
+A task's sorts hold all its rows, several times over for several windows, so both numbers follow from the rows counted and not
+from bytes: the planner would join small partitions into larger ones as the table grows.
+
 The block number is the range partition a row fell into. Range bounds come from a sample, so the numbered rows are
 written once and read back; a recomputed task can then never see other bounds.
 """
@@ -50,13 +54,17 @@ def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
 
 @dataclass(frozen=True)
 class Series:
-    """Rows of many keys, each key ordered by ``order``; ``cut`` means the keys are cut into blocks."""
+    """Rows of many keys, each key ordered by ``order``; ``cut`` means the keys are cut into ``blocks`` blocks, numbered from 0.
+
+    ``rows`` is how many there are at most, as far as known.
+    """
 
     df: DataFrame
     key: tuple[str, ...]
     order: tuple[str, ...]
     cut: bool = False
     blocks: int = 1
+    rows: int = 0
 
     def _groups(self, by: Sequence[str] = ()) -> list[str]:
         return [*self.key, *([BLOCK] if self.cut else []), *by]
@@ -74,8 +82,16 @@ class Series:
         return self._with(fn(self.df))
 
     def colocate(self, *columns: str) -> Series:
-        """One hash shuffle that all later windows of this series can share."""
-        return self._with(self.df.repartition(*(columns or self._groups())))
+        """One hash shuffle that all later windows of this series can share. Blocks are placed where they are read."""
+        if self.cut:
+            return self
+        tasks = -(-self.rows // rows_per_block(self.df.sparkSession))
+        enough = tasks <= self.df.sparkSession.sparkContext.defaultParallelism
+        return self._with(self.df.repartition(*([] if enough else [tasks]), *(columns or self.key)))
+
+    def _placed(self) -> DataFrame:
+        """The rows with every block in a task of its own."""
+        return self.df.repartitionById(self.blocks, F.col(BLOCK)) if self.cut else self.df
 
     def rekey(self, key: Sequence[str], order: Sequence[str] | None = None) -> Series:
         """The same rows under another key. Oversized keys are cut anew."""
@@ -93,7 +109,7 @@ class Series:
         if not self.cut:
             return self._with(self.df.withColumns(lags(self._window())))
         inside = self._window()
-        marked = self.df.withColumns(
+        marked = self._placed().withColumns(
             {
                 **lags(inside),
                 "_rank": F.row_number().over(inside),
@@ -115,7 +131,7 @@ class Series:
         build on each other write their result down in between; ``keep=False`` leaves that out at the end of a chain.
         """
         inside = {s.name: _inside(s, self._window(s.by)) for s in specs}
-        result = self.df.withColumns(inside)
+        result = self._placed().withColumns(inside)
         if not self.cut:
             return self._with(result)
         for spec in specs:
@@ -208,14 +224,14 @@ class ByKey:
         ``key`` must extend the key that was counted.
         """
         if self._oversized is None:
-            return ByKey([Series(df, tuple(key), tuple(order))], None, True, self.rows)
+            return ByKey([Series(df, tuple(key), tuple(order), rows=self.rows)], None, True, self.rows)
         counted = self._oversized.columns
         keys = F.broadcast(self._oversized) if self._few else self._oversized
         cold = join_null_safe(df, keys, counted, "left_anti")
         hot = join_null_safe(df, keys, counted, "left_semi")
         blocks = self.parts[-1].blocks
         return ByKey(
-            [Series(cold, tuple(key), tuple(order)), cut_into_blocks(hot, key, order, blocks)],
+            [Series(cold, tuple(key), tuple(order), rows=self.rows), cut_into_blocks(hot, key, order, blocks)],
             self._oversized,
             self._few,
             self.rows,
@@ -237,7 +253,7 @@ def by_key(df: DataFrame, key: Sequence[str], order: Sequence[str] = ("sec", "se
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("all"),
     ).first()
     if not found["keys"]:
-        return ByKey([Series(df, tuple(key), tuple(order))], None, True, found["all"])
+        return ByKey([Series(df, tuple(key), tuple(order), rows=found["all"])], None, True, found["all"])
     blocks = -(-found["rows"] // limit) + 1
     few = found["keys"] <= BROADCAST_KEYS
     oversized = materialise(sizes.where(over).select(*key))
@@ -245,7 +261,7 @@ def by_key(df: DataFrame, key: Sequence[str], order: Sequence[str] = ("sec", "se
     cold = join_null_safe(df, keys, list(key), "left_anti")
     hot = join_null_safe(df, keys, list(key), "left_semi")
     return ByKey(
-        [Series(cold, tuple(key), tuple(order)), cut_into_blocks(hot, key, order, blocks)],
+        [Series(cold, tuple(key), tuple(order), rows=found["all"] - found["rows"]), cut_into_blocks(hot, key, order, blocks)],
         oversized,
         few,
         found["all"],

@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 ROWS_PER_BLOCK = "vigil.rowsPerBlock"
-DEFAULT_ROWS_PER_BLOCK = 4_000_000
+DEFAULT_ROWS_PER_BLOCK = 250_000  # a task of the cascade holds up to 4 KB of sorted rows per event
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "vigil") -> SparkSession:
