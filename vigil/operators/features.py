@@ -62,15 +62,22 @@ def ml_batch_features(events: DataFrame, size: int = GROUP, limit: int | None =
     )
 
 
-def session_features(events: DataFrame, keep_empty: bool = True) -> DataFrame:
+def session_features(events: DataFrame, keep_empty: bool = True, limit: int | None = None) -> DataFrame:
     """The same features per whole session, for training.
 
     Null sessions are left out; the session ``""`` counts as one session unless ``keep_empty`` is false. Distinct
-    counts of values skip null, the counts of events and of event types do not.
+    counts of values skip null, the counts of events and of event types do not. Ordinary sessions are laid out once, in tasks
+    of bounded size; an oversized one is combined where its events lie.
     """
     rows = events.where(F.col("session_id").isNotNull())
     if not keep_empty:
         rows = rows.where(F.col("session_id") != "")
+    rows = rows.select("session_id", "user_id", "event_type", "ip", "country", "user_agent", "hour", "sec", "seq")
+    parts = by_key(rows, ["session_id"], limit=limit)
+    return parts.apply(lambda s: s.colocate(), lambda s: s.transform(_whole_sessions)).frame()
+
+
+def _whole_sessions(rows: DataFrame) -> DataFrame:
     # A session's events mostly share few combinations of values: distinct counts copy these, not every event.
     combined = rows.groupBy("session_id", "ip", "country", "user_agent", "event_type").agg(
         F.min(F.when(F.col("user_id").isNotNull(), F.struct("sec", "seq", "user_id"))).alias("first"),
