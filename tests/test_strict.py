@@ -122,3 +122,16 @@ def test_corrections(spark, events):
     assert found(before) != found(want)
     assert got.count() == events.count() and found(got) == found(want)
     assert found(strict.corrected(want, events, late.limit(0), TUNING, everyone)) == found(want)
+
+
+@pytest.mark.parametrize("limit", [None, 300])
+def test_only_users_with_another_decision_are_folded_again(events, limit, monkeypatch):
+    folded, fold = [], strict._folded
+
+    def counting(rows, *rest):
+        folded.append(rows.count())
+        return fold(rows, *rest)
+
+    monkeypatch.setattr(strict, "_folded", counting)
+    strict.folded_history(events, TUNING, limit=limit)
+    assert folded.count(events.count()) == 1

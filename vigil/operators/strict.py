@@ -6,8 +6,10 @@ folds the r-th block of all such users, and the state after it travels to the ne
 than a block of a user and each block's result is written before the next one starts.
 
 Transitions of all users depend on what other users left out. They are counted by the table operator from the transitions the fold
-recorded, and the fold is repeated with these counts until nothing changes: all verdicts before the first wrong one are right
-in every round, so this ends with exactly the verdicts of a replay, after a few rounds as a rule. With a fixed histogram, as in
+recorded, and the users for whom these counts decide an event otherwise than the fold did are folded again, until there are none:
+all verdicts before the first wrong one are right in every round and its user is among those folded again, so this ends with
+exactly the verdicts of a replay, after a few rounds as a rule. Such events lie where transitions are still few: the first block of
+all events is settled alone, and the counts found there go into the first fold of the whole table. With a fixed histogram, as in
 the stream, one fold is enough.
 
 ``corrected`` takes events that a stream set aside as too late: the verdicts of their users are folded again from the first of them
@@ -24,16 +26,16 @@ from zlib import crc32
 import pyarrow as pa
 from pyarrow.dataset import dataset
 from pyarrow.fs import FileSystem, FileType
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from vigil.operators.detect import HISTORY_COLUMNS, stage1, stage2, verdict_rows
+from vigil.operators.detect import HISTORY_COLUMNS, markov_level, stage1, stage2, verdict_rows
 from vigil.operators.history import FIRST, SECOND, USER, Tuning, global_transitions, transition_histogram
 from vigil.operators.past import GLOBAL, Past, steps_of
 from vigil.operators.series import BLOCK, by_key, join_null_safe
-from vigil.session import intermediate_folder, materialise
+from vigil.session import intermediate_folder, materialise, rows_per_block
 
 PARTS = 256
 ASSUMED = ("assumed_1", "assumed_2")
@@ -182,15 +184,34 @@ def folded_history(
     rows = events.select(*HISTORY_COLUMNS)
     if everyone is not None:
         return _folded(rows, tuning, everyone.of, strict, limit)
-    found = _folded(rows, tuning, None, strict, limit)
-    same = ["event_id", "seq", FIRST, SECOND, "recorded", *GLOBAL]
+    known, most, total = None, rows_per_block(events.sparkSession, limit), rows.count()
+    if total > most:
+        until = rows.agg(F.percentile_approx("sec", most / total)).first()[0]
+        early = _settled(rows.where(F.col("sec") <= until), None, tuning, strict, limit)
+        known = early.select("event_id", "seq", *GLOBAL, *_assumed()).dropDuplicates(["event_id", "seq"])
+    return _settled(rows, known, tuning, strict, limit)
+
+
+def _assumed() -> list[Column]:
+    return [F.col(c).alias(a) for a, c in zip(ASSUMED, (FIRST, SECOND), strict=True)]
+
+
+def _settled(rows: DataFrame, known: DataFrame | None, tuning: Tuning, strict: bool, limit: int | None) -> DataFrame:
+    """The fold whose counts of all users are those of the transitions it recorded; ``known`` are counts to begin with."""
+    start = rows if known is None else join_null_safe(rows, known, ["event_id", "seq"], "left")
+    found = _folded(start, tuning, None, strict, limit)
+    by_all = F.coalesce(*(markov_level("global", order, tuning) for order in (2, 1)), F.lit(False))
+    by_user = F.coalesce(*(markov_level("user", order, tuning) for order in (2, 1)))
     while True:
-        counted = global_transitions(found.drop(*GLOBAL), limit, keep=True)
-        assumed = [F.col(c).alias(a) for a, c in zip(ASSUMED, (FIRST, SECOND), strict=True)]
-        again = _folded(counted.select(*HISTORY_COLUMNS, *GLOBAL, *assumed), tuning, None, strict, limit)
-        if again.select(*same).exceptAll(counted.select(*same)).isEmpty():
-            return again
-        found = again
+        used = found.withColumn("_used", by_all).drop(*GLOBAL)
+        counted = materialise(global_transitions(used, limit))
+        other = counted.where(by_user.isNull() & (F.col("_used") != by_all)).select("user_id").distinct()
+        other, counted = materialise(other), counted.drop("_used")
+        if other.isEmpty():
+            return counted
+        theirs = join_null_safe(counted, other, ["user_id"], "left_semi")
+        again = _folded(theirs.select(*HISTORY_COLUMNS, *GLOBAL, *_assumed()), tuning, None, strict, limit)
+        found = join_null_safe(counted, other, ["user_id"], "left_anti").unionByName(again)
 
 
 def strict_verdicts(
