@@ -132,6 +132,28 @@ def test_template_texts_pair_by_their_own_words_only(spark):
     assert near.prefix_pairs(members, full, 75).count() == 0
 
 
+def test_copies_of_one_text_are_linked_by_a_central_one(spark, monkeypatch):
+    pick = random.Random(9)
+    base = [f"w{pick.randrange(10**6)}" for _ in range(150)]
+    rows = []
+    for i in range(160):  # the first of each bucket is one of those least like the others
+        text = list(base)
+        for at in pick.sample(range(150), 3 if i < 60 else 1):
+            text[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(text)))
+    met, own = [], near.prefix_pairs
+
+    def counted(*given):
+        pairs = own(*given)
+        met.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(near, "prefix_pairs", counted)
+    found = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, found)) == brute_near(rows)
+    assert sum(met) <= len(rows)
+
+
 def test_pairs_of_one_hub_are_confirmed_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(near, "PIECE", 3)
     full = spark.createDataFrame([(i, [1, 2, 3, 10 + i % 2]) for i in range(40)], "id long, shingles array<long>")

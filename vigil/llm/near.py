@@ -4,13 +4,16 @@
 2. The set's minima under 144 universal hash functions form 36 bands of 4; sets that share a band are nominated. A pair at
    a similarity of exactly 0.75 shares none with a probability of about one in a million.
 3. Every member of a bucket is compared with the bucket's first document on the full sets.
-4. Only pairs of one bucket that are still in different components can add anything. The documents of such buckets go
-   through an exact prefix join: shingles are ordered from rare to frequent, and two sets can only be similar enough if the
+4. Only pairs of one bucket that are still in different components can add anything. The bucket's first document may be
+   one of the least like the others, so each such bucket's members outside its main component are compared with the most
+   central one of this component, that whose shingles are the most frequent: copies of one text that differ here and there
+   are linked by it, however many there are.
+5. The documents of buckets that are still open go through an exact prefix join: shingles are ordered from rare to frequent, and two sets can only be similar enough if the
    first shingle they share in this order has enough shingles behind it in both. So a set enters with its rare shingles
    only, the smaller set of a pair with fewer, and what many texts have in common (an opening, a template) is not looked
    up. Sizes, the shingles left behind the shared one, and a sketch of one bit per minimum (six standard deviations wide)
    decide inside the join's condition; the pairs that come out are confirmed on the full sets.
-5. Components come from alternating large-star and small-star.
+6. Components come from alternating large-star and small-star.
 
 Defined results: null or empty texts, and texts without words, have no shingles and no links; a null id links nothing;
 rows with one id count as one node; an empty table gives an empty result; other columns are ignored.
@@ -22,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.llm.common import arrow_map, documents, stored
@@ -118,23 +121,35 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return placed.join(right, "v").join(left, ["u", "piece"]).filter(held).select("u", "v")
 
 
-def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def prefixes(reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The shingles ``s`` by which a set of ``reps`` may meet a similar one, with ``behind``, the set's size ``n`` and ``central``.
+
+    Shingles of one member only order nothing: they stand before all others. ``behind`` is the number of a set's shingles
+    from this one on, itself included; ``central`` is the mean frequency of its shingles.
+    """
+    items = sets.join(reps.select(F.col("rep").alias("id")), "id", "left_semi")
+    items = items.select(F.col("id").alias("rep"), F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("s"))
+    shared = items.groupBy("s").agg(F.count("*").alias("f")).filter("f > 1")
+    of_set = Window.partitionBy("rep")
+    behind = F.row_number().over(of_set.orderBy(F.desc("f"), F.desc("s"))).cast("long")
+    ranked = items.join(shared, "s").select("s", behind.alias("behind"), "rep", "n", (F.sum("f").over(of_set) / F.col("n")).alias("central"))
+    return stored(ranked.filter(F.col("behind") * 100 >= F.col("n") * percent))
+
+
+def _apart(a: str, b: str) -> Column:
+    return sum((F.bit_count(F.col(f"{a}.w{i}").bitwiseXOR(F.col(f"{b}.w{i}"))) for i in range(3)), F.lit(0))
+
+
+def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int, found: DataFrame | None = None) -> DataFrame:
     """Pairs ``u``, ``v`` of different components that may be similar enough; none that is goes missing.
 
     ``members`` has ``rep``, ``comp``, ``outer`` (one of the two is outer in every pair), ``n`` and the sketch; ``sets`` has
-    ``id`` and ``shingles``. Shingles of one member only order nothing: they stand before all others. ``behind`` is the
-    number of a set's shingles from the shared one on, itself included.
+    ``id`` and ``shingles``. ``found`` are the ``prefixes`` of these members, or of more.
     """
-    items = sets.join(members.select(F.col("rep").alias("id")), "id", "left_semi")
-    items = items.select(F.col("id").alias("rep"), F.explode("shingles").alias("s"))
-    shared = items.groupBy("s").agg(F.count("*").alias("f")).filter("f > 1")
-    last = Window.partitionBy("rep").orderBy(F.desc("f"), F.desc("s"))
-    ranked = items.join(shared, "s").select("rep", "s", F.row_number().over(last).cast("long").alias("behind"))
-    probe = ranked.join(members, "rep").filter(F.col("behind") * 100 >= F.col("n") * percent)
-    probe = stored(probe.select("s", "behind", "rep", "comp", "outer", "n", "w0", "w1", "w2"))
+    found = prefixes(members, sets, percent) if found is None else found
+    probe = stored(found.select("s", "behind", "rep").join(members, "rep"))
     index = probe.filter(F.col("behind") * (100 + percent) >= F.col("n") * (2 * percent))
 
-    apart = sum((F.bit_count(F.col(f"a.w{i}").bitwiseXOR(F.col(f"b.w{i}"))) for i in range(3)), F.lit(0))
     enough = F.least("a.behind", "b.behind") * (100 + percent) >= (F.col("a.n") + F.col("b.n")) * percent
     close = (
         (F.col("a.s") == F.col("b.s"))
@@ -142,14 +157,42 @@ def prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         & (F.col("a.n") * 100 >= F.col("b.n") * percent)
         & enough
         & (F.col("a.comp") != F.col("b.comp"))
-        & (apart <= MOST_BITS)
+        & (_apart("a", "b") <= MOST_BITS)
     )
-    found = None
+    met = None
     for small, large in ((index.filter("outer"), probe), (index.filter("NOT outer"), probe.filter("outer"))):
         pairs = small.alias("a").join(large.alias("b"), close)
         pairs = pairs.select(F.least("a.rep", "b.rep").alias("u"), F.greatest("a.rep", "b.rep").alias("v"))
-        found = pairs if found is None else found.unionByName(pairs)
-    return found.distinct()
+        met = pairs if met is None else met.unionByName(pairs)
+    return met.distinct()
+
+
+def _open(places: DataFrame, roots: DataFrame) -> DataFrame:
+    """``band``, ``rep``, ``comp`` and the bucket's ``main`` component, of buckets with members in several components."""
+    placed = places.join(roots, places["rep"] == roots["node"], "left").select("band", "rep", F.coalesce("root", "rep").alias("comp"))
+    parts = placed.groupBy("band", "comp").agg(F.count("*").alias("m")).groupBy("band")
+    parts = parts.agg(F.count("*").alias("c"), F.max_by("comp", F.struct("m", "comp")).alias("main")).filter("c > 1")
+    return stored(placed.join(parts.select("band", "main"), "band"))
+
+
+def _members(places: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each document of open buckets once, with ``outer``: whether it is outside the main component of one of them."""
+    outer = F.max(F.col("comp") != F.col("main")).alias("outer")
+    return stored(places.groupBy("rep", "comp").agg(outer).join(sets.select("rep", "n", "w0", "w1", "w2"), "rep"))
+
+
+def central_pairs(places: DataFrame, members: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a bucket's most central member of its main component and its members of other components.
+
+    At most one per place. ``found`` are the ``prefixes`` of the members: without any a set is similar to none.
+    """
+    central = found.groupBy("rep").agg(F.first("central").alias("central"))
+    item = F.struct("rep", "n", "w0", "w1", "w2")
+    facing = members.join(central, "rep").select("rep", "central", item.alias("b")).join(places, "rep")
+    leads = facing.filter("comp = main").groupBy("band").agg(F.max_by("b", F.struct("central", "rep")).alias("a"))
+    sizes = F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent
+    met = facing.filter("comp <> main").join(leads, "band").filter(sizes & (_apart("a", "b") <= MOST_BITS))
+    return met.select(F.col("a.rep").alias("u"), F.col("b.rep").alias("v")).distinct()
 
 
 def near_duplicates(
@@ -173,19 +216,19 @@ def near_duplicates(
     links = stored(_confirmed(stars, full, percent))
     roots = components(links)
 
-    placed = members.join(roots, members["rep"] == roots["node"], "left").select(
-        "band", "rep", "lead", F.coalesce("root", "rep").alias("comp")
-    )
-    parts = placed.groupBy("band", "comp").agg(F.count("*").alias("m")).groupBy("band")
-    parts = parts.agg(F.count("*").alias("c"), F.max_by("comp", F.struct("m", "comp")).alias("main")).filter("c > 1")
     # the bucket's first document has been compared with all others
-    outer = F.max(F.col("comp") != F.col("main")).alias("outer")
-    rest = placed.filter("rep <> lead").join(parts.select("band", "main"), "band").groupBy("rep", "comp").agg(outer)
-    rest = stored(rest.join(sets.select("rep", "n", "w0", "w1", "w2"), "rep"))
+    places = _open(members.filter("rep <> lead").select("band", "rep"), roots)
+    rest = _members(places, sets)
     if not rest.filter("outer").isEmpty():
-        more = stored(_confirmed(stored(prefix_pairs(rest, full, percent)), full, percent))
+        rare = prefixes(rest, full, percent)
+        more = stored(_confirmed(stored(central_pairs(places, rest, rare, percent)), full, percent))
+        if not more.isEmpty():
+            roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
+            places = _open(places.select("band", "rep"), roots)
+            rest = _members(places, sets)
+        more = stored(_confirmed(stored(prefix_pairs(rest, full, percent, rare)), full, percent))
         if not more.isEmpty():
-            roots = components(links.unionByName(more))
+            roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
 
     of_set = sets.join(roots, sets["rep"] == roots["node"], "left").select(*key, F.coalesce("root", "rep").alias("comp"))
     found = signed.select("id", *key).join(of_set, key, "left")
