@@ -117,6 +117,27 @@ def test_memory_of_frequent_grams_is_bounded():
     assert peak < 300 << 20  # all pairs of place and item at once: 30 million, over 1 GB
 
 
+def test_memory_of_a_search_is_bounded(spark, monkeypatch):
+    pick = random.Random(8)
+    words = ["".join(pick.choices("abcdefghij", k=6)) for _ in range(5000)]
+    texts = [" ".join(pick.choices(words, k=1000)) for _ in range(1100)]
+    items = spark.createDataFrame([(1, texts[1000][700:1000])], "item_id long, text string")
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    runs = []
+    monkeypatch.setattr(decontam, "arrow_map", lambda df, run, schema: runs.append(run) or spark.createDataFrame([], schema))
+    decontam.contaminated(docs, items)
+    decontam.clean_rows(docs, items)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    rows = pa.RecordBatch.from_arrays([batch.to_struct_array()], names=["row"])
+    assert batch.nbytes > 7 << 20
+    for run, whole, left in zip(runs, (batch, rows), (1, len(texts) - 1), strict=True):
+        tracemalloc.start()
+        assert sum(x.num_rows for x in run(iter([whole]))) == left
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 150 << 20  # in slices of 4 MB: over 200 MB
+
+
 def test_items_in_blocks(spark, monkeypatch):
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")

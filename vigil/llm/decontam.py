@@ -33,7 +33,8 @@ from vigil.llm.words import U, keyed, mixed, slices, window_hashes
 GRAM = 12
 PERCENT = 5
 BLOCK_CHARS = 2_000_000
-MOST_HITS = 1 << 20
+SLICE_BYTES = 1 << 20  # of text at a time: a search takes about 75 bytes of scratch memory per byte
+MOST_HITS = 1 << 18
 MOST_CELLS = 1 << 21
 _BITS = 23
 _POINT = keyed(1, 301)[0]
@@ -253,7 +254,7 @@ def contaminated(
         def run(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             present = index.present()
             for whole in batches:
-                for batch in slices(whole, 1, 4 << 20):
+                for batch in slices(whole, 1, SLICE_BYTES):
                     rows = passages(batch.column(1).to_pylist(), index, present) if index.ids else []
                     cells = list(zip(*rows, strict=True)) or [[]] * 5
                     yield pa.RecordBatch.from_arrays(
@@ -280,7 +281,7 @@ def clean_rows(df: DataFrame, items: DataFrame, text: str = "text", item_id: str
             present = index.present()
             for whole in batches:
                 begin = 0
-                for part in slices(pa.RecordBatch.from_arrays([whole.column(0).field(at)], names=["t"]), 0, 4 << 20):
+                for part in slices(pa.RecordBatch.from_arrays([whole.column(0).field(at)], names=["t"]), 0, SLICE_BYTES):
                     keep = np.ones(part.num_rows, bool)
                     if index.ids:
                         keep[[x[0] for x in passages(part.column(0).to_pylist(), index, present)]] = False
